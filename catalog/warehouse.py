@@ -270,44 +270,46 @@ def key_violations(spark, sf):
     )
 
 
-# Parents and children: market segments' customers with their orders, big orders only so that some parents stay empty.
+# Parents and children: documents with their labels; most documents have none.
 
-BIG_ORDERS_SQL = "big AS (SELECT * FROM orders WHERE o_totalprice > 480000)"
 
+def parents(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "source", F.concat(F.lit("doc "), "doc_id").alias("doc_name"))
 
-def big_orders(spark, sf):
-    return table(spark, sf, "orders").filter("o_totalprice > 480000").withColumnRenamed("o_custkey", "c_custkey")
 
+def children(spark, sf):
+    verdict = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
+    return table(spark, sf, "labels").withColumns({"label_id": F.col("doc_id"), "verdict": verdict, "score": F.col("quality") - F.col("toxic") / 4})
 
-@query("AGG5 JOIN4", f"""WITH {BIG_ORDERS_SQL}
-SELECT c_name, count(o_orderkey) AS "count" FROM customer LEFT JOIN big ON c_custkey = o_custkey GROUP BY c_name""")
-def order_count_by_customer(spark, sf):
-    return reports.child_count(table(spark, sf, "customer"), big_orders(spark, sf), "c_custkey", "c_name", "o_orderkey")
 
+CHILDREN_SQL = """ch AS (SELECT *, doc_id AS label_id, quality - toxic / 4.0 AS score, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' END AS verdict FROM labels)"""
 
-@query("AGG6 AGG7", f"""WITH {BIG_ORDERS_SQL}
-SELECT c_name, round(avg(o_totalprice), 4) AS average FROM customer LEFT JOIN big ON c_custkey = o_custkey GROUP BY c_name""")
-def average_order_by_customer(spark, sf):
-    out = reports.child_average(table(spark, sf, "customer"), big_orders(spark, sf), "c_custkey", "c_name", "o_totalprice")
-    return out.withColumn("average", F.round("average", 4))
 
+@query("AGG5 JOIN4", """SELECT 'doc ' || d.doc_id AS doc_name, count(l.doc_id) AS "count" FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""")
+def child_counts(spark, sf):
+    return reports.child_count(parents(spark, sf), children(spark, sf), "doc_id", "doc_name", "label_id")
 
-@query("AGG8", f"""WITH {BIG_ORDERS_SQL}, labelled AS (SELECT *, nullif(o_orderstatus, 'P') AS label FROM big)
-SELECT c_mktsegment, coalesce(label, 'unknown') AS label, count(o_orderkey) AS "count"
-FROM customer LEFT JOIN labelled ON c_custkey = o_custkey GROUP BY 1, 2""")
-def label_counts_by_segment(spark, sf):
-    labelled = big_orders(spark, sf).withColumn("label", F.nullif("o_orderstatus", F.lit("P")))
-    return reports.child_label_counts(table(spark, sf, "customer"), labelled, "c_custkey", "c_mktsegment", "label", "o_orderkey")
 
+@query("AGG6 AGG7", f"""WITH {CHILDREN_SQL}
+SELECT 'doc ' || d.doc_id AS doc_name, round(avg(score), 6) AS average FROM documents d LEFT JOIN ch ON d.doc_id = ch.doc_id GROUP BY 1""")
+def child_averages(spark, sf):
+    out = reports.child_average(parents(spark, sf), children(spark, sf), "doc_id", "doc_name", "score")
+    return out.withColumn("average", F.round("average", 6))
 
-@query("AGG8", f"""WITH {BIG_ORDERS_SQL}, labelled AS (SELECT *, nullif(o_orderstatus, 'P') AS label FROM big),
-c AS (SELECT c_mktsegment, coalesce(label, 'unknown') AS label, count(o_orderkey) AS n
-FROM customer LEFT JOIN labelled ON c_custkey = o_custkey GROUP BY 1, 2)
-SELECT c_mktsegment, string_agg(label || '=' || n, ',' ORDER BY label) AS counts FROM c GROUP BY 1""")
-def label_maps_by_segment(spark, sf):
-    maps = reports.label_count_maps(label_counts_by_segment(spark, sf), "c_mktsegment")
+
+@query("AGG8", f"""WITH {CHILDREN_SQL}
+SELECT d.source, coalesce(verdict, 'unknown') AS label, count(label_id) AS "count" FROM documents d LEFT JOIN ch ON d.doc_id = ch.doc_id GROUP BY 1, 2""")
+def label_counts_by_parent(spark, sf):
+    return reports.child_label_counts(parents(spark, sf), children(spark, sf), "doc_id", "source", "verdict", "label_id")
+
+
+@query("AGG8", f"""WITH {CHILDREN_SQL},
+c AS (SELECT d.source, coalesce(verdict, 'unknown') AS label, count(label_id) AS n FROM documents d LEFT JOIN ch ON d.doc_id = ch.doc_id GROUP BY 1, 2)
+SELECT source, string_agg(label || '=' || n, ',' ORDER BY label) AS counts FROM c GROUP BY 1""")
+def label_maps_by_parent(spark, sf):
+    maps = reports.label_count_maps(label_counts_by_parent(spark, sf), "source")
     pairs = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return maps.select("c_mktsegment", F.array_join(pairs, ",").alias("counts"))
+    return maps.select("source", F.array_join(pairs, ",").alias("counts"))
 
 
 @query("AGG9", """WITH l AS (SELECT nullif(o_orderpriority, '5-LOW') AS label FROM orders)
@@ -317,7 +319,7 @@ def label_totals(spark, sf):
     return reports.label_totals(table(spark, sf, "orders").withColumn("label", F.nullif("o_orderpriority", F.lit("5-LOW"))), "label")
 
 
-@query("AGG23", """SELECT n_nationkey, n_name, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) AS "count" FROM nation""")
+@query("AGG23", """SELECT n_nationkey, n_name, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS "count" FROM nation""")
 def suppliers_per_nation(spark, sf):
-    rich = table(spark, sf, "supplier").filter("s_acctbal > 5000").withColumnRenamed("s_nationkey", "n_nationkey")
-    return reports.source_counts(table(spark, sf, "nation"), rich, "n_nationkey", "n_name")
+    suppliers = table(spark, sf, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+    return reports.source_counts(table(spark, sf, "nation"), suppliers, "n_nationkey", "n_name")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def collapse_whitespace(c: Column) -> Column:
     """Runs of any Unicode whitespace become one space, ends trimmed, null becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def safe_file_name(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,11 @@ MESSAGE_FIELDS = {
 }
 
 
-def normalise_messages(raw: DataFrame) -> DataFrame:
-    """Scraped records to the raw table's columns; either naming of the scraper and the loader is read."""
+def normalise_messages(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Scraped records to the raw table's columns; either naming of the scraper and the loader is read.
+
+    `keep` passes further columns through, such as the record's file and place.
+    """
     columns = []
     for target, (kind, spellings) in MESSAGE_FIELDS.items():
         present = [F.col(c) for c in spellings if c in raw.columns]
@@ -27,7 +32,7 @@ def normalise_messages(raw: DataFrame) -> DataFrame:
         if target == "channel_name":
             value = F.element_at(F.split(value.cast("string"), "/"), -1)
         columns.append(value.cast(kind).alias(target))
-    return raw.select(*columns)
+    return raw.select(*columns, *keep)
 
 
 def staging_messages(messages: DataFrame) -> DataFrame:
