@@ -1 +1,8 @@
 """tidemart: a message / review warehouse and its analytics, as PySpark DataFrame functions."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

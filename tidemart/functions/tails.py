@@ -9,6 +9,7 @@ from math import exp, lgamma, log, log1p
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TINY = 1e-300
 STEPS = 100_000
@@ -81,11 +82,11 @@ def correlation_p(r: float, n: float) -> float:
     return beta_regularized((n - 2) / 2.0, 0.5, max(0.0, 1.0 - r * r))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def correlation_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) or pd.isna(b) or b < 3 else correlation_p(a, b) for a, b in zip(r, n)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_p_value(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) or pd.isna(b) or b < 1 else chi_square_tail(a, b) for a, b in zip(x, dof)], dtype="float64")

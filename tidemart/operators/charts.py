@@ -101,7 +101,7 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """threshold, fpr, tpr at every distinct score from the highest down, plus the (0, 0) start (null threshold)."""
     counts = score_counts(df, label, score)
     cum = running(counts, [], ["-threshold"], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
-    total = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(F.struct("p", "n")).scalar()
+    total = cum.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).select(F.struct("p", "n")).scalar()
     points = cum.select("threshold", F.try_divide(F.col("fp").cast("double"), total["n"]).alias("fpr"), F.try_divide(F.col("tp").cast("double"), total["p"]).alias("tpr"))
     start = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(points)

@@ -161,7 +161,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
         return present.groupBy(*keys).agg(*[F.percentile_approx("__v", p, 10000).alias(name) for name, p in probs.items()])
     counts = present.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
     cum = running(counts, keys, ["__v"], {"__cum": ("sum", F.col("__c"))})
-    size = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+    size = cum.groupBy(*keys).agg(F.max("__cum").alias("__n"))
     if keys:
         cum = null_safe_join(cum, size, keys, "inner")
     else:
@@ -180,8 +180,12 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     )
 
 
-def value_ranks(df: DataFrame, value: str) -> DataFrame:
-    """One row per distinct value: `value`, `n` (ties) and `avg_rank` among all non-null rows."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+def value_ranks(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
+    """One row per distinct value: `value`, `n` (ties) and `avg_rank` among all non-null rows.
+
+    `weight` is a column of row counts when the rows are already grouped.
+    """
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(size.alias("n"))
     cum = running(counts, [], ["value"], {"cum": ("sum", F.col("n"))})
     return cum.select("value", "n", (F.col("cum") - (F.col("n") - 1) / 2.0).alias("avg_rank"))

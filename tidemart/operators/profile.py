@@ -55,7 +55,7 @@ def counts_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
 def frequencies(df: DataFrame, column: str) -> DataFrame:
     """Every value (null included) with its count and share of all rows."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("share", F.col("count") / total)
 
 
