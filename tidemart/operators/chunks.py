@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.session import spread
+
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
@@ -71,9 +73,9 @@ def create_chunks(
         return texts.map(lambda t: split_text(t, size, overlap))
 
     rows = df.filter(F.col(text_col).isNotNull() & F.col(text_col).rlike(r"(?U)\S"))
-    cut = rows.select(
+    cut = spread(rows.select(id_col, text_col, product_col)).select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("unknown")).alias("complaint_id"), F.col(product_col).alias("product"),
-        F.posexplode(split(F.col(text_col))).alias("chunk_index", "text"),
-    )
+        F.posexplode_outer(split(F.col(text_col))).alias("chunk_index", "text"),
+    ).filter("text is not null")
     chunk_id = F.sha2(F.concat_ws(":", "complaint_id", F.col("chunk_index").cast("string")), 256)
     return cut.select(chunk_id.alias("chunk_id"), "complaint_id", "product", "text", "chunk_index")

@@ -13,6 +13,7 @@ from tidemart.functions.dates import TIMESTAMP_FORMATS, parse_timestamp
 from tidemart.functions.numeric import log1p_number
 from tidemart.functions.text import collapse_whitespace
 from tidemart.operators.order import first_per_key, quantiles, running, sort_columns
+from tidemart.session import spread
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -167,7 +168,8 @@ def clean_reviews(
 ) -> DataFrame:
     """Missing values, dates, text, ratings, then the output columns that exist, sorted."""
     clean = (
-        df.transform(drop_missing_critical, critical or cols.critical())
+        spread(df)
+        .transform(drop_missing_critical, critical or cols.critical())
         .transform(fill_review_defaults, cols)
         .transform(normalise_review_dates, cols)
         .transform(clean_review_text, cols)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.session import materialize
+from tidemart.session import materialize, spread
 
 SEGMENT = "__segment"
 SALTS = 32
@@ -156,7 +156,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     a whole group (the built-in `percentile` keeps every distinct value of a group in one buffer).
     """
     keys = list(keys)
-    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    present = spread(df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v")))
     if approximate:
         return present.groupBy(*keys).agg(*[F.percentile_approx("__v", p, 10000).alias(name) for name, p in probs.items()])
     counts = present.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))

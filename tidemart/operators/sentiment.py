@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.functions.text import headline_features, sentiment_label, signed_score, whitespace_words
+from tidemart.session import spread
 
 # Fixed values of the published rules.
 BOOST, CAPS, NEGATION, ALPHA = 0.293, 0.733, -0.74, 15.0
@@ -45,13 +46,15 @@ def _upper(t: Column) -> Column:
 
 
 def _token_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    tokens = df.select(id_col, sentiment_tokens(F.col(text_col)).alias("__tokens"))
+    tokens = spread(df.select(id_col, text_col)).select(id_col, sentiment_tokens(F.col(text_col)).alias("__tokens"))
     capitals = F.size(F.filter("__tokens", _upper))
     facts = tokens.select(
         id_col, "__tokens", ((capitals > 0) & (capitals < F.size("__tokens"))).alias("mixed_caps"),
         F.array_position(F.transform("__tokens", F.lower), "but").alias("but_at"),
     )
-    return facts.select(id_col, "mixed_caps", "but_at", F.posexplode("__tokens").alias("pos", "word")).withColumn("token", F.lower("word"))
+    # Outer: a plain explode makes the optimizer evaluate the tokens again in a filter before it.
+    rows = facts.select(id_col, "mixed_caps", "but_at", F.posexplode_outer("__tokens").alias("pos", "word")).filter("word is not null")
+    return rows.withColumn("token", F.lower("word"))
 
 
 def token_valences(
@@ -59,50 +62,39 @@ def token_valences(
     boosters: Sequence[str] = BOOSTERS, dampeners: Sequence[str] = DAMPENERS, negations: Sequence[str] = NEGATIONS,
 ) -> DataFrame:
     """(id, pos, valence) of every token after capitals, boosters, negation, 'least' and 'but'."""
-    rows = _token_rows(df, id_col, text_col).join(lexicon.select("token", F.col("valence").cast("double").alias("base")), "token", "left")
-    near = W.partitionBy(id_col).orderBy("pos")
-    looked = rows.withColumns(
-        {
-            **{f"word{j}": F.lag("word", j).over(near) for j in (1, 2, 3)},
-            **{f"known{j}": F.lag(F.col("base").isNotNull(), j).over(near) for j in (1, 2, 3)},
-            "next": F.lead("token", 1).over(near),
-        }
+    known = _token_rows(df, id_col, text_col).join(lexicon.select("token", F.col("valence").cast("double").alias("base")), "token", "left")
+    token, word = F.col("token"), F.col("word")
+    size = F.when(token.isin(list(boosters)), BOOST).when(token.isin(list(dampeners)), -BOOST)
+    # What a later token needs to know of this one, so that the window carries flags instead of words.
+    traits = F.struct(
+        F.col("base").isNotNull().alias("known"), size.alias("boost"), (_upper(word) & F.col("mixed_caps")).alias("caps"),
+        (token.isin(list(negations)) | F.contains(token, F.lit("n't"))).alias("negates"), (word == "never").alias("never"),
+        word.isin("so", "this").alias("so"), (token == "least").alias("least"), token.isin("at", "very").alias("at"),
+        (token == "kind").alias("kind"), (token == "of").alias("of"),
     )
+    near = W.partitionBy(id_col).orderBy("pos")
+    rows = known.select(id_col, "pos", "but_at", "base", traits.alias("t"))
+    looked = rows.withColumns({**{f"t{j}": F.lag("t", j).over(near) for j in (1, 2, 3)}, "next": F.lead("t", 1).over(near)})
 
-    def boost(word: Column) -> Column:
-        low = F.lower(word)
-        size = F.when(low.isin(list(boosters)), BOOST).when(low.isin(list(dampeners)), -BOOST) if dampeners else F.when(low.isin(list(boosters)), BOOST)
-        return size
-
-    def negates(word: Column) -> Column:
-        low = F.lower(word)
-        return low.isin(list(negations)) | F.contains(low, F.lit("n't"))
-
-    base, caps = F.col("base"), F.col("mixed_caps")
     sign = lambda v: F.when(v > 0, 1.0).otherwise(-1.0)
-    out = looked.withColumn("v", F.when(_upper(F.col("word")) & caps, base + sign(base) * CAPS).otherwise(base))
-    intensifier = lambda c: c.isin("so", "this")
-    for j, fade in ((1, 1.0), (2, 0.95), (3, 0.9)):
-        word, v = F.col(f"word{j}"), F.col("v")
-        active = word.isNotNull() & ~F.col(f"known{j}")
-        size = boost(word) * F.when(v < 0, -1.0).otherwise(1.0)
-        size = size + F.when(_upper(word) & caps, sign(v) * CAPS).otherwise(0.0)
-        added = v + F.coalesce(size, F.lit(0.0)) * fade
-        if j == 1:
-            after = F.when(negates(word), added * NEGATION).otherwise(added)
-        elif j == 2:
-            never = (word == "never") & intensifier(F.col("word1"))
-            after = F.when(never, added * 1.5).when(negates(word), added * NEGATION).otherwise(added)
-        else:
-            never = ((word == "never") & intensifier(F.col("word2"))) | intensifier(F.col("word1"))
-            after = F.when(never, added * 1.25).when(negates(word), added * NEGATION).otherwise(added)
-        out = out.withColumn("v", F.when(active, after).otherwise(v))
-    least = (F.lower("word1") == "least") & ~F.col("known1") & ~F.coalesce(F.lower("word2").isin("at", "very"), F.lit(False))
-    v = F.when(least, F.col("v") * NEGATION).otherwise(F.col("v"))
-    skipped = F.coalesce(boost(F.col("word")).isNotNull() | ((F.col("token") == "kind") & (F.col("next") == "of")), F.lit(False))
-    v = F.when(skipped, 0.0).otherwise(F.coalesce(v, F.lit(0.0)))
-    place = F.col("pos") + 1
-    v = F.when((F.col("but_at") > 0) & (place < F.col("but_at")), v * 0.5).when((F.col("but_at") > 0) & (place > F.col("but_at")), v * 1.5).otherwise(v)
+    base = F.col("base")
+    out = looked.withColumn("v", F.when(F.col("t.caps"), base + sign(base) * CAPS).otherwise(base))
+    for j, fade, lift in ((1, 1.0, 1.0), (2, 0.95, 1.5), (3, 0.9, 1.25)):
+        t, v = F.col(f"t{j}"), F.col("v")
+        push = t["boost"] * F.when(v < 0, -1.0).otherwise(1.0) + F.when(t["caps"], sign(v) * CAPS).otherwise(0.0)
+        added = v + F.coalesce(push, F.lit(0.0)) * fade
+        never = {
+            1: F.lit(False),
+            2: t["never"] & F.col("t1.so"),
+            3: (t["never"] & F.col("t2.so")) | F.col("t1.so"),
+        }[j]
+        factor = F.when(never, lift).when(t["negates"], NEGATION).otherwise(1.0)
+        out = out.withColumn("v", F.when(t.isNotNull() & ~t["known"] & base.isNotNull(), added * factor).otherwise(v))
+    least = F.coalesce(F.col("t1.least") & ~F.col("t1.known") & ~F.coalesce("t2.at", F.lit(False)), F.lit(False))
+    skipped = F.col("t.boost").isNotNull() | (F.col("t.kind") & F.coalesce("next.of", F.lit(False)))
+    place, but_at = F.col("pos") + 1, F.col("but_at")
+    weight = F.when((but_at > 0) & (place < but_at), 0.5).when((but_at > 0) & (place > but_at), 1.5).otherwise(1.0)
+    v = F.when(skipped, 0.0).otherwise(F.coalesce(F.col("v"), F.lit(0.0)) * F.when(least, NEGATION).otherwise(1.0)) * weight
     return out.select(id_col, "pos", v.alias("valence"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.window import WindowSpec
 from tidemart.functions.numeric import guarded_corr, safe_ratio
 from tidemart.functions.tails import chi_square_p_value, correlation_p_value
 from tidemart.operators.order import value_ranks
-from tidemart.session import materialize
+from tidemart.session import materialize, spread
 
 
 def windowed_corr(x: Column, y: Column, frame: WindowSpec) -> tuple[Column, Column]:

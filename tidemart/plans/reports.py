@@ -10,7 +10,7 @@ IMAGE_CATEGORIES = ("promotional", "product_display", "lifestyle", "other")
 
 def top_terms(messages: DataFrame, limit: int = 10) -> DataFrame:
     """Most frequent lower-cased, space-separated words that start with a Latin letter; ties by word."""
-    words = messages.select(F.explode(F.split(F.lower("message_text"), " ")).alias("product"))
+    words = messages.select(F.explode_outer(F.split(F.lower("message_text"), " ")).alias("product"))
     return (
         words.filter(F.col("product").rlike("^[a-zA-Z]+"))
         .groupBy("product")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.session import spread
+
 # Target column -> spellings accepted, first present non-null value wins.
 MESSAGE_FIELDS = {
     "message_id": ("bigint", ("message_id",)),
@@ -38,7 +40,7 @@ def normalise_messages(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def staging_messages(messages: DataFrame) -> DataFrame:
     """Typed rows with non-empty text; casts are strict, so a bad date fails the load."""
     return (
-        messages.select(
+        spread(messages).select(
             "message_id",
             "channel_name",
             "channel_type",
