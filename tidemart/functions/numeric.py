@@ -21,10 +21,15 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den)
 
 
+def clamp(c: Column, size: float = 1.0) -> Column:
+    """Within -size..size; null stays null (least and greatest would skip it)."""
+    return F.when(c > size, size).when(c < -size, -size).otherwise(c)
+
+
 def guarded_corr(x: Column, y: Column) -> tuple[Column, Column]:
     """(r, n) over complete pairs; r is null for a constant side instead of raising."""
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
     spread = F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b))
     r = F.try_divide(F.covar_pop(a, b), F.nullif(spread, F.lit(0.0)))
-    return F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)), F.count(F.when(both, 1))
+    return clamp(r), F.count(F.when(both, 1))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemart.functions.numeric import clamp
 from tidemart.functions.text import headline_features, sentiment_label, signed_score, whitespace_words
 from tidemart.session import spread
 
@@ -117,7 +118,7 @@ def lexicon_scores(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str
     facts = df.select(id_col, text.isNull().alias("absent"), emphasis.alias("emphasis")).join(sums, id_col, "left")
     total, up, down, extra = F.col("total"), F.col("up"), F.col("down"), F.col("emphasis")
     total = F.when(total > 0, total + extra).when(total < 0, total - extra).otherwise(total)
-    compound = F.greatest(F.least(total / F.sqrt(total * total + ALPHA), F.lit(1.0)), F.lit(-1.0))
+    compound = clamp(total / F.sqrt(total * total + ALPHA))
     shaped = facts.select(
         id_col, "absent", "flat", compound.alias("compound"),
         F.when(up > down, up + extra).otherwise(up).alias("up"),

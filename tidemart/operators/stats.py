@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
-from tidemart.functions.numeric import guarded_corr, safe_ratio
+from tidemart.functions.numeric import clamp, guarded_corr, safe_ratio
 from tidemart.functions.tails import chi_square_p_value, correlation_p_value
 from tidemart.operators.order import value_ranks
-from tidemart.session import materialize, spread
+from tidemart.session import materialize
 
 
 def windowed_corr(x: Column, y: Column, frame: WindowSpec) -> tuple[Column, Column]:
@@ -60,7 +60,7 @@ def spearman(df: DataFrame, x: str, y: str, alpha: float = 0.05) -> DataFrame:
     a, b, w = F.col("rank_x") - (n + 1) / 2.0, F.col("rank_y") - (n + 1) / 2.0, F.col("w")
     sums = ranked.agg(F.sum(w * a * b).alias("ab"), F.sum(w * a * a).alias("aa"), F.sum(w * b * b).alias("bb"), F.coalesce(F.sum(w), F.lit(0)).alias("n"))
     spread = F.sqrt(F.col("aa")) * F.sqrt(F.col("bb"))
-    r = F.greatest(F.least(F.try_divide(F.col("ab"), F.nullif(spread, F.lit(0.0))), F.lit(1.0)), F.lit(-1.0))
+    r = clamp(F.try_divide(F.col("ab"), F.nullif(spread, F.lit(0.0))))
     return _judged(sums.select(r.alias("r"), "n"), alpha, with_n=False)
 
 
