@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalog import REGISTRY  # noqa: E402
-from tidemart.session import build_session  # noqa: E402
+from tidemart.session import build_session, drop_materialized  # noqa: E402
 
 HEADLINE = (
     "top_products", "message_facts", "image_detection_facts", "visual_content", "quality_checks", "message_search", "child_averages",
@@ -35,6 +35,7 @@ def main() -> None:
         start = time.perf_counter()
         REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+    drop_materialized(spark)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir).removeprefix("sf")}))
 
 

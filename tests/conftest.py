@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemart.session import build_session  # noqa: E402
+from tidemart.session import build_session, drop_materialized  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +16,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_materialized(session)
     session.stop()
 
 

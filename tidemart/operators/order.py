@@ -3,8 +3,8 @@
 A window over one key (or no key) puts that key's rows in one task. Everything here splits the
 order into range partitions ("segments"), works inside each segment, and adds what the earlier
 segments of the same key carry in. The segment id is written with the rows, so a re-run task
-cannot see other boundaries than the ones the carries were computed for. The carry table has one
-row per (key, segment), whatever the data size.
+cannot see other boundaries than the ones the carries were computed for. The carry table has at
+most one row per segment, whatever the data size.
 
 Order keys are column names, ascending with nulls last; a leading "-" means descending, nulls last.
 """
@@ -84,8 +84,11 @@ def running(
 
     placed = rows.withColumns(locals_)
     summed = placed if "__place" in locals_ else rows
-    carry = summed.groupBy(*keys, SEGMENT).agg(*totals).withColumns(carries).select(*keys, SEGMENT, *carries)
-    out = null_safe_join(placed, carry, [*keys, SEGMENT]).withColumns(combined)
+    carry = summed.groupBy(*keys, SEGMENT).agg(*totals).withColumns({**carries, "__prior": F.count(F.lit(1)).over(before)})
+    # Segments follow the keys, so only the first key of a segment can continue an earlier one: at most
+    # one row per segment is left here, which is what makes the broadcast safe at any data size.
+    carry = carry.filter(F.col("__prior") > 0).select(*keys, SEGMENT, *carries)
+    out = null_safe_join(placed, F.broadcast(carry), [*keys, SEGMENT]).withColumns(combined)
     return out.select(*[c for c in df.columns if c not in specs], *specs)
 
 

@@ -47,6 +47,12 @@ def new_shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder; call it when its frames are done with."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, tag: str = "cut") -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 

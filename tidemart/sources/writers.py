@@ -86,8 +86,11 @@ def check_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def new_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet, the first by `order` where a key repeats."""
-    fresh = incoming.join(existing.select(*key), list(key), "left_anti")
-    return first_per_key(fresh, key, order)
+    # The stored keys are only scanned when the batch is small enough to broadcast: they are cut to the
+    # batch's keys first, and the anti join is between two batch-sized sides.
+    keys = list(key)
+    stored = existing.select(*keys).join(incoming.select(*keys).distinct(), keys, "left_semi").distinct()
+    return first_per_key(incoming.join(stored, keys, "left_anti"), keys, order)
 
 
 def insert_if_absent(target: TableFolder, incoming: DataFrame, key: Sequence[str] = ("message_id",), order: Sequence[str] = ()) -> None:
