@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions.dates import parse_timestamp
 from tidemart.operators.order import first_per_key, running_index
+from tidemart.session import materialize
 from tidemart.sources.readers import path_exists
 
 
@@ -95,8 +96,8 @@ def new_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str], order
 
 def insert_if_absent(target: TableFolder, incoming: DataFrame, key: Sequence[str] = ("message_id",), order: Sequence[str] = ()) -> None:
     """Keyed insert, stored rows win, first incoming row wins; re-runs change nothing. Null keys are rejected."""
-    rows = new_rows(target.read(), check_key(incoming, key), key, list(order) or [c for c in incoming.columns if c not in key])
-    target.append(rows)
+    batch = materialize(check_key(incoming, key), "batch")
+    target.append(new_rows(target.read(), batch, key, list(order) or [c for c in incoming.columns if c not in key]))
 
 
 def last_by_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -112,9 +113,9 @@ def merged(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 def upsert(target: TableFolder, incoming: DataFrame, key: str, order: Sequence[str]) -> int:
     """Update or insert all columns by key, the last incoming row by `order` wins; returns rows attempted."""
-    latest = last_by_key(incoming, key, order)
-    target.replace(merged(target.read(), target._shape(latest), key))
-    return incoming.count()
+    batch = materialize(incoming, "batch")
+    target.replace(merged(target.read(), target._shape(last_by_key(batch, key, order)), key))
+    return batch.count()
 
 
 def shape_reviews(df: DataFrame, banks: DataFrame) -> DataFrame:
