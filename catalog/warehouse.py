@@ -13,7 +13,7 @@ from tidemart.plans import marts, reports, staging
 MESSAGES_SQL = """
 raw_msg AS (
   SELECT doc_id AS message_id, source AS channel_name,
-    CASE CAST(substr(source, 4) AS BIGINT) % 3 WHEN 0 THEN 'Medical' WHEN 1 THEN 'Cosmetics' ELSE 'Pharmaceutical' END AS channel_type,
+    CASE CAST(substr(source, 4) AS BIGINT) % 3 WHEN 0 THEN 'news' WHEN 1 THEN 'shop' ELSE 'forum' END AS channel_type,
     CASE WHEN doc_id % 11 = 5 THEN NULL WHEN doc_id % 11 = 7 THEN '' ELSE text END AS message_text,
     TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(doc_id % 60 AS INTEGER)) + to_hours(CAST(doc_id % 24 AS INTEGER)) AS post_date,
     CAST(n_chars AS INTEGER) - 300 AS view_count, CAST(doc_id % 7 AS INTEGER) AS forward_count,
@@ -61,7 +61,7 @@ def raw_messages(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(
         F.col("doc_id").alias("message_id"),
         F.col("source").alias("channel_name"),
-        F.when(kind == 0, "Medical").when(kind == 1, "Cosmetics").otherwise("Pharmaceutical").alias("channel_type"),
+        F.when(kind == 0, "news").when(kind == 1, "shop").otherwise("forum").alias("channel_type"),
         F.when(F.col("doc_id") % 11 == 5, None).when(F.col("doc_id") % 11 == 7, "").otherwise(F.col("text")).alias("message_text"),
         (start + F.make_dt_interval(days=F.col("doc_id") % 60, hours=F.col("doc_id") % 24)).alias("message_date"),
         (F.col("n_chars").cast("int") - 300).alias("views"),

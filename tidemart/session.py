@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+SPREAD_BYTES = 1 << 30
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -68,11 +70,11 @@ def materialize(df: DataFrame, tag: str = "cut") -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on a small input that arrives in few files.
 
-    Only when the optimizer's size estimate says the whole input is less than one scan partition per
-    core; a large input already has many partitions and is left alone, so nothing big is exchanged.
+    Only when the optimizer's size estimate says that most cores would get no scan partition, and
+    never above 1 GiB: a large input already has many partitions and is left alone.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     per_task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * per_task else df
+    return df.repartition(cores) if int(str(size)) < min(cores * per_task // 4, SPREAD_BYTES) else df
