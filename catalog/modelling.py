@@ -204,7 +204,7 @@ def _fit_and_rank(spark, sf, sets, label, evaluator):
     return evaluator(fitted, test, label)
 
 
-@query("ML4 ML7", note="MLlib fits; ranking and metric ranges are tested")
+@query("ML4 ML7", note="MLlib fits, run without an equal in SQL")
 def quality_classifiers(spark, sf):
     def chosen(prepared, label):
         made = models.classification_models(prepared, label)

@@ -74,7 +74,7 @@ def main() -> None:
     ids = list(dict.fromkeys(a + b for a, b in re.findall(r"^\| (SRC|SNK|FLT|JOIN|AGG|WIN|TOP|SET|SCL|STAT|TXT|ML|VIZ|DQ|STR|PIPE)(\d+) \|", survey, re.M)))
     lines = [
         "# Coverage of the inventory", "",
-        "Functions are below `tidemart.`. A query marked * has no SQL twin (its note says why; it is tested by properties or brute force).", "",
+        "Functions are below `tidemart.`. A query marked * has no SQL twin (its note says why).", "",
         "| Row | Function | Queries | Tests beside the SQL check |", "| --- | --- | --- | --- |",
     ]
     for row in ids:
