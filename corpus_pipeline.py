@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import fertility
-from tidemart.session import materialize
+from tidemart.llm import fertility, forest, replication, token_files
+from tidemart.session import materialize, new_shared_path
+
+MIX_SEED, MIX_TEMPERATURE = 17, 2.0
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,8 +19,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return fertility.keep_fitting(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return forest.one_of_each_class(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's rate has it, shuffled over all sources."""
+    return replication.mix(docs, seed=MIX_SEED, temperature=MIX_TEMPERATURE).drop("copy")
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all that is left; the rows are read back from them."""
+    manifest = token_files.write_token_files(docs, new_shared_path(spark, "tokens"))
+    return token_files.read_token_files(spark, manifest, ids=False)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
+    ("mixing", mixing),
+    ("token_output", token_output),
 ]
 
 #: Tokenisers, tries and searches cannot be said in SQL; the stages are tested against brute force.

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fertility
+from tidemart.llm import fertility, forest, replication, token_files
+from tidemart.session import new_shared_path
+
+#: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
+MIX_SEED, MIX_TEMPERATURE = 17, 2.0
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +30,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return fertility.judge_documents(docs).drop("text", "lang")
+
+
+@query
+def op7_poisson_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replication.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED, temperature=MIX_TEMPERATURE)
+
+
+SQL["op7_poisson_replication"] = f"""
+with recursive sums as (
+    select source, sum(coalesce(length(text), 0)) as mass from documents group by source
+), shares as (
+    select source, mass, pow(mass::double, 1.0 / {MIX_TEMPERATURE}) as raw from sums
+), rates as (
+    select source, case when mass > 0 then raw / (select sum(raw) from shares) * (select sum(mass) from shares)::double / mass else 0.0 end as rate
+    from shares
+), parts as (
+    select source, rate, greatest(ceil(rate / {replication.PART_RATE}), 1)::int as n from rates
+), tables as (
+    select source, n, rate / n as mean, 0 as k, exp(-(rate / n)) as p, exp(-(rate / n)) as below from parts
+    union all
+    select source, n, mean, k + 1, p * mean / (k + 1), below + p * mean / (k + 1) from tables where k < {replication.TABLE_LENGTH}
+), drawn as (
+    select d.doc_id, d.source, t.below, part,
+        (('0x' || substr(md5('{MIX_SEED}:' || coalesce(d.doc_id::varchar, '') || ':' || part), 1, 13))::bigint + 0.5) / {1 << 52}.0 as u
+    from documents d join parts p on d.source is not distinct from p.source, unnest(range(1, p.n + 1)) as numbers(part)
+        join tables t on t.source is not distinct from d.source
+), counts as (
+    select doc_id, source, count(*) filter (where below < u) as copies from drawn group by doc_id, source
+)
+select d.*, copy::int as copy
+from documents d join counts c on c.doc_id is not distinct from d.doc_id and c.source is not distinct from d.source,
+    unnest(range(1, c.copies + 1)) as numbers(copy)
+"""
+
+
+@query
+def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), new_shared_path(spark, "tokens"))
+    return token_files.read_token_files(spark, manifest, ids=False)
