@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import fertility, forest, replication, token_files
+from tidemart.llm import decontamination, fertility, forest, replication, token_files
 from tidemart.session import materialize, new_shared_path
 
 MIX_SEED, MIX_TEMPERATURE = 17, 2.0
@@ -24,6 +24,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return forest.one_of_each_class(docs)
 
 
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontamination.without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's rate has it, shuffled over all sources."""
     return replication.mix(docs, seed=MIX_SEED, temperature=MIX_TEMPERATURE).drop("copy")
@@ -38,6 +43,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("near_copies", near_copies),
+    ("benchmark_items", benchmark_items),
     ("mixing", mixing),
     ("token_output", token_output),
 ]

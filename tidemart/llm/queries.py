@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fertility, forest, replication, token_files
+from tidemart.llm import decontamination, fertility, forest, replication, token_files
 from tidemart.session import new_shared_path
 
 #: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
@@ -65,6 +65,11 @@ from documents d join counts c on c.doc_id is not distinct from d.doc_id and c.s
 """
 
 
+@query
+def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.classes(table(spark, sf_dir, "documents"))
