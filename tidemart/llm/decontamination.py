@@ -6,7 +6,8 @@ BM25 over its distinct words, divided by the score of the item's own words: 1 me
 there. All items at or above `threshold` are retrieved, as in block-max WAND: a passage's words are sorted by the largest
 weight they have anywhere; the cheap ones that together stay below the threshold cannot lift an item over it
 alone, so only blocks of items that hold one of the others (from the pivot on) are opened; a block is scored
-only if the pivot words' block maxima plus the cheap ones reach the threshold. Nothing at or above it is missed.
+only if the pivot words' block maxima plus the cheap words, first at their largest and then at their block
+maxima, reach the threshold. Nothing at or above it is missed.
 
 A retrieved item counts when the document holds its question and its answer: of the `gram`-word sequences of
 each part, at least `overlap` are found in the text. Parts are the columns `question` and `answer` if the
@@ -26,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -33,16 +35,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.rows import quoted, text_or_empty
+from tidemart.llm.vocab import WordCache
 from tidemart.session import materialize
 
 K1, B = 1.2, 0.75
 STRIDE = 64
 BLOCK_ITEMS = 4
+TABLE_CELLS = 1 << 22
 SHARD_BYTES = 32 << 20
 THRESHOLD, GRAM, OVERLAP = 0.6, 5, 0.6
 MATCH = "item_id long, score double, question_overlap double, answer_overlap double, first_word long"
 
-words_of = re.compile(r"\w+").findall
+#: A word is what stands between blanks without these marks at its ends; a text's mere marks are no words.
+MARKS = "".join(chr(code) for code in range(33, 127) if not chr(code).isalnum()) + "«»“”‘’„¿¡…–—"
+NO_WORD = -2
+BATCH_CHARS = 1 << 18
+
+
+def words_of(text: str) -> list[str]:
+    return [word for word in (one.strip(MARKS) for one in text.lower().split()) if word]
 
 
 def parts_of(text: str) -> tuple[str, str]:
@@ -69,16 +80,33 @@ class Index:
     block_from: np.ndarray = None  # a word's first entry in block_of and block_best
     block_of: np.ndarray = None
     block_best: np.ndarray = None
+    cells: np.ndarray = None  # word and block of each entry as one number, ascending
+    table: np.ndarray = None  # block_best by cell, where that is small; the same numbers without a search
     weights: list[dict[int, float]] = field(default_factory=list)  # by item
+    n_blocks: int = 0
+
+    @cached_property
+    def spelt(self) -> WordCache:
+        """A word's number as it is written in a text: -1 if no item has it, `NO_WORD` for mere marks."""
+
+        def number(written: str) -> int:
+            word = written.strip(MARKS)
+            return self.number.get(word, -1) if word else NO_WORD
 
-    @property
-    def n_blocks(self) -> int:
-        return -(-len(self.items) // BLOCK_ITEMS)
+        return WordCache(number)
+
+    def worth(self, word: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Block maxima, 0 where a block has no item with the word."""
+        cell = word * self.n_blocks + block
+        if self.table is not None:
+            return self.table[cell]
+        place = np.minimum(np.searchsorted(self.cells, cell), len(self.cells) - 1)
+        return np.where(self.cells[place] == cell, self.block_best[place], 0.0)
 
 
 def build_indexes(items: list[tuple[int, str, str, str]], gram: int = GRAM) -> list[Index]:
     """One index per length class of items (id, text, question, answer); document frequencies are of all items."""
-    split = [(key, words_of(text.lower()), question, answer) for key, text, question, answer in items]
+    split = [(key, words_of(text), question, answer) for key, text, question, answer in items]
     split = [one for one in split if one[1]]
     if not split:
         return []
@@ -102,38 +130,48 @@ def _index(stride: int, members: list, rarity: dict[str, float], mean: float, gr
         own = sum(raw.values())
         weights = {index.number.setdefault(word, len(index.number)): value / own for word, value in raw.items()}
         index.weights.append(weights)
-        index.items.append((key, grams(words_of(question.lower()), gram), grams(words_of(answer.lower()), gram)))
+        index.items.append((key, grams(words_of(question), gram), grams(words_of(answer), gram)))
         for word, value in weights.items():
             cell = (word, place // BLOCK_ITEMS)
             entries[cell] = max(entries.get(cell, 0.0), value)
+    index.n_blocks = -(-len(index.items) // BLOCK_ITEMS)
     order = sorted(entries)
     word = np.array([cell[0] for cell in order])
     index.block_of = np.array([cell[1] for cell in order])
     index.block_best = np.array([entries[cell] for cell in order])
     index.block_from = np.searchsorted(word, np.arange(len(index.number) + 1))
+    index.cells = word * index.n_blocks + index.block_of
+    if len(index.number) * index.n_blocks <= TABLE_CELLS:
+        index.table = np.zeros(len(index.number) * index.n_blocks)
+        index.table[index.cells] = index.block_best
     index.best = np.maximum.reduceat(index.block_best, index.block_from[:-1])
     return index
 
 
-def retrieve(index: Index, words: list[str], threshold: float, passages: int = 512) -> dict[int, tuple[float, int]]:
-    """Places of the items that some passage scores at or above the threshold, with the best score and its passage's first word."""
-    get = index.number.get
-    known = np.fromiter((get(word, -1) for word in words), np.int64, len(words))
-    at = np.flatnonzero(known >= 0)
+def retrieve(index: Index, known: list[np.ndarray], threshold: float, passages: int = 2048) -> dict[tuple[int, int], tuple[float, int]]:
+    """For texts given as word numbers (negative: not in the index): (text, item's place) to the best score and its passage's first word,
+    for the items that some passage scores at or above the threshold."""
+    stride = index.stride
+    counts = np.array([max(0, -(-len(one) // stride) - 2) + 1 for one in known])
+    # the texts one after the other, two strides of nothing between them, so that no passage meets two
+    bases = (np.cumsum(counts + 3) - (counts + 3)) * stride
+    at = np.concatenate([np.flatnonzero(one >= 0) + base for one, base in zip(known, bases.tolist(), strict=True)])
+    ids = np.concatenate([one[one >= 0] for one in known])
     if not len(at):
         return {}
-    ids = known[at]
+    text_of = np.repeat(np.arange(len(known)), counts)
+    local = (np.arange(len(text_of)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
+    all_starts = bases[text_of] + local
     # the place of the same word before, to count a word once in a passage
     order = np.lexsort((at, ids))
+    same = ids[order[1:]] == ids[order[:-1]]
     before = np.full(len(at), -1)
-    again = order[1:][ids[order[1:]] == ids[order[:-1]]]
-    before[again] = at[order[:-1][ids[order[1:]] == ids[order[:-1]]]]
-    found: dict[int, tuple[float, int]] = {}
-    last = max(0, -(-len(words) // index.stride) - 2)
-    for first in range(0, last + 1, passages):
-        starts = np.arange(first, min(first + passages, last + 1)) * index.stride
+    before[order[1:][same]] = at[order[:-1][same]]
+    found: dict[tuple[int, int], tuple[float, int]] = {}
+    for first in range(0, len(all_starts), passages):
+        starts = all_starts[first : first + passages]
         low = np.searchsorted(at, starts)
-        high = np.searchsorted(at, starts + 2 * index.stride)
+        high = np.searchsorted(at, starts + 2 * stride)
         lengths = high - low
         passage = np.repeat(np.arange(len(starts)), lengths)
         place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(low, lengths)
@@ -158,35 +196,64 @@ def retrieve(index: Index, words: list[str], threshold: float, passages: int = 5
         entry = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(index.block_from[pivot], counts)
         cell = np.repeat(owner, counts) * index.n_blocks + index.block_of[entry]
         cells, inverse = np.unique(cell, return_inverse=True)
-        reach = np.bincount(inverse, index.block_best[entry]) + rest[cells // index.n_blocks]
+        sure = np.bincount(inverse, index.block_best[entry], len(cells))
+        able = sure + rest[cells // index.n_blocks] >= threshold - 1e-9
+        cells, sure = cells[able], sure[able]
+        # the blocks still open: the cheap words by what they are worth in that block
+        owners, low_word = passage[cheap], word[cheap]
+        edges = np.searchsorted(owners, np.arange(len(starts) + 1))
+        asked = cells // index.n_blocks
+        counts = edges[asked + 1] - edges[asked]
+        pair = np.repeat(np.arange(len(cells)), counts)
+        entry = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + edges[asked][pair]
+        worth = index.worth(low_word[entry], (cells % index.n_blocks)[pair])
+        reach = sure + np.bincount(pair, worth, len(cells))
         bounds = np.searchsorted(passage, np.arange(len(starts) + 1))
         for one in cells[reach >= threshold - 1e-9].tolist():
             asked, block = divmod(one, index.n_blocks)
             present = set(word[bounds[asked] : bounds[asked + 1]].tolist())
             for item in range(block * BLOCK_ITEMS, min((block + 1) * BLOCK_ITEMS, len(index.items))):
                 score = sum(value for key, value in index.weights[item].items() if key in present)
-                if score >= threshold and score > found.get(item, (0.0, 0))[0]:
-                    found[item] = (score, int(starts[asked]))
+                text = int(text_of[first + asked])
+                if score >= threshold and score > found.get((text, item), (0.0, 0))[0]:
+                    found[text, item] = (score, int(local[first + asked]))
     return found
 
 
-def matches(indexes: list[Index], text: str, threshold: float, gram: int, overlap: float) -> list[tuple]:
-    """Verified items of one text, by item id."""
-    words = words_of(text.lower())
-    out = []
-    there: set | None = None
+def matches(indexes: list[Index], texts: list[str], threshold: float, gram: int, overlap: float) -> list[list[tuple]]:
+    """Verified items of each text, by item id."""
+    raw = [text.lower().split() for text in texts]
+    hits: dict[int, list[tuple]] = {}
     for index in indexes:
-        for item, (score, first) in retrieve(index, words, threshold).items():
-            key, question, answer = index.items[item]
-            if there is None:
-                there = set()
-                sizes = {len(one) for other in indexes for _, q, a in other.items for one in (*q[:1], *a[:1])}
-                for n in sizes:
-                    there.update(zip(*(words[i:] for i in range(n)), strict=False))
+        known = [np.fromiter(map(index.spelt.__getitem__, one), np.int64, len(one)) for one in raw]
+        for (text, item), best in retrieve(index, [one[one != NO_WORD] for one in known], threshold).items():
+            hits.setdefault(text, []).append((*index.items[item], *best))
+    out: list[list[tuple]] = [[] for _ in texts]
+    for text, found in hits.items():
+        words = [word for word in (one.strip(MARKS) for one in raw[text]) if word]
+        there: set = set()
+        for n in {len(one) for _, question, answer, _, _ in found for one in (*question[:1], *answer[:1])}:
+            there.update(zip(*(words[i:] for i in range(n)), strict=False))
+        for key, question, answer, score, first in found:
             shares = [sum(one in there for one in part) / len(part) if part else 1.0 for part in (question, answer)]
             if min(shares) >= overlap:
-                out.append((key, score, *shares, first))
-    return sorted(out, key=lambda row: (row[0] is None, row[0] or 0, row))
+                out[text].append((key, score, *shares, first))
+        out[text].sort(key=lambda row: (row[0] is None, row[0] or 0, row))
+    return out
+
+
+def text_batches(texts: pd.Series, chars: int = BATCH_CHARS) -> Iterator[list[str]]:
+    """The texts in order, so many at a time that they have about `chars` characters."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def shards(benchmark: DataFrame, item: str = "item_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[list[tuple]]:
@@ -209,7 +276,8 @@ def matched(docs: DataFrame, text: str, items: list[tuple], threshold: float, gr
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = [part.split()[0] for part in MATCH.split(", ")]
         for texts in batches:
-            yield pd.Series([[dict(zip(names, row, strict=True)) for row in matches(held.value, one, threshold, gram, overlap)] for one in texts])
+            rows = [found for some in text_batches(texts) for found in matches(held.value, some, threshold, gram, overlap)]
+            yield pd.Series([[dict(zip(names, row, strict=True)) for row in found] for found in rows])
 
     return found(text_or_empty(text))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontamination, fertility, forest, replication, token_files
+from tidemart.llm import chat, decontamination, fertility, forest, replication, token_files
 from tidemart.session import new_shared_path
 
 #: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
@@ -26,6 +26,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+SQL["op1_perspective_rotation"] = f"""
+with rows as (
+    select conv_id, turn, coalesce(role, '{chat.UNNAMED}') as speaker, coalesce(role, '') = 'system' as is_system,
+        replace(coalesce(text, ''), '<|', '< |') as content
+    from conversations
+), placed as (
+    select *, row_number() over (partition by conv_id order by turn nulls last, speaker, content) as position from rows
+), speakers as (
+    select distinct conv_id, speaker as perspective from rows where not is_system
+), shown as (
+    select p.*, s.perspective, not is_system and speaker = s.perspective as train,
+        case when is_system then speaker when speaker = s.perspective then 'assistant' else 'user' end as shown_role,
+        case when not is_system and speaker <> s.perspective then replace(speaker, '<|', '< |') end as name
+    from placed p join speakers s on p.conv_id is not distinct from s.conv_id
+), segments as (
+    select *, '<|' || shown_role || coalesce(' name=' || name, '') || '|>' || chr(10) || content || '<|end|>' || chr(10) as rendered from shown
+), lines as (
+    select *, sum(length(rendered)) over (partition by conv_id, perspective order by position) as upto from segments
+)
+select conv_id, perspective, position::bigint as position, turn, shown_role as role, name, content, rendered, train,
+    (upto - length(rendered))::bigint as start, upto::bigint as "end",
+    case when train then (upto - length(rendered) + {len("<|assistant|>") + 1})::bigint end as mask_start,
+    case when train then upto::bigint end as mask_end
+from lines
+"""
+
+
 @query
 def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
