@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import chat, decontamination, fertility, forest, replication, token_files
+from tidemart.llm import chat, decontamination, fertility, forest, lineblocks, replication, token_files
 from tidemart.session import new_shared_path
 
 #: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
@@ -64,6 +64,11 @@ def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge_documents(docs).drop("text", "lang")
 
 
+@query
+def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineblocks.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op7_poisson_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replication.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED, temperature=MIX_TEMPERATURE)
