@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import chat, decontamination, fertility, forest, lineblocks, replication, token_files
-from tidemart.session import new_shared_path
+from tidemart.llm import chat, decontamination, fertility, forest, lineblocks, replication, rollups, token_files, toxicity, vocab
+from tidemart.session import materialize, new_shared_path
 
 #: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
 MIX_SEED, MIX_TEMPERATURE = 17, 2.0
@@ -58,6 +58,14 @@ from lines
 """
 
 
+@query
+def op2_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    classifier = toxicity.fit(*toxicity.labelled_sample(docs, table(spark, sf_dir, "labels").filter(~held_out)))
+    return toxicity.score_documents(docs.withColumn("held_out", held_out), classifier).drop("text")
+
+
 @query
 def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -69,6 +77,30 @@ def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineblocks.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+@query
+def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches over all documents: all are inserted; those of low quality are deleted; the others are
+    revised to count the id that ends a document; the deletion comes a second time and must not count."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    low = table(spark, sf_dir, "labels").filter("quality = 0").select("doc_id", F.lit(True).alias("low")).distinct()
+    counted = docs.select(
+        "doc_id", "source", "lang", F.lit(vocab.BYTE_BPE_RANKS).alias("tokenizer"), rollups.token_count(F.col("text")).alias("n_tokens"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+    )
+    counts = materialize(counted, "counts").join(low, "doc_id", "left")
+    before = {"old_tokens": F.lit(None).cast("long"), "old_chars": F.lit(None).cast("long")}
+    deleted = counts.filter("low").withColumns({"change": F.lit("delete"), **before})
+    revised = counts.filter("low is null").withColumns(
+        {"change": F.lit("revise"), "old_tokens": F.col("n_tokens"), "old_chars": F.col("n_chars"), "n_tokens": F.col("n_tokens") + 1}
+    )
+    store = rollups.Rollup(spark, new_shared_path(spark, "rollup"))
+    store.apply("load", counts.withColumns({"change": F.lit("insert"), **before}))
+    store.apply("low quality", deleted)
+    store.apply("end id", revised)
+    store.apply("low quality", deleted)
+    return store.totals()
+
+
 @query
 def op7_poisson_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replication.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED, temperature=MIX_TEMPERATURE)
