@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import chat, decontamination, fertility, forest, lineblocks, replication, rollups, token_files, toxicity, vocab
+from tidemart.llm import chat, decontamination, disclosure, fertility, forest, lineblocks, replication, rollups, token_files, toxicity, vocab
 from tidemart.session import materialize, new_shared_path
 
 #: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
@@ -66,6 +66,11 @@ def op2_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs.withColumn("held_out", held_out), classifier).drop("text")
 
 
+@query
+def op3_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.span_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
