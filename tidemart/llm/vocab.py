@@ -18,10 +18,11 @@ PIECE_BPE = "piece_bpe_32k.model"
 
 #: Stands before the first word of a text; a text that holds it is not cut into words.
 START = "\x01"
-#: Two blanks in a row, one at an end, or one that is neither a blank nor a line feed.
-UNEVEN_GAPS = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z|\x01").search
+#: White space that is neither a blank nor a line feed, and two of these in a row.
+OTHER_BLANK = re.compile(r"[\t\r\v\f\x01\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+PAIRS = ("  ", "\n\n", " \n", "\n ")
 #: A generation of a cache holds this many words, so a worker's memory does not grow with the input.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 #: Longer words are encoded each time they are met.
 CACHED_CHARS = 64
 
@@ -79,6 +80,7 @@ class ByteEncoder:
         self.model = self.library.model
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.characters = byte_characters()
+        self.blank = self.characters[32]
         self.parts = WordCache(self.part)
         self.words = WordCache(self.word)
 
@@ -86,7 +88,10 @@ class ByteEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def part(self, part: str) -> bytes:
-        seen = part.encode().decode("latin-1").translate(self.characters)
+        if part.isascii() and part[1:].isalnum():
+            seen = self.blank + part[1:] if part[0] == " " else part
+        else:
+            seen = part.encode().decode("latin-1").translate(self.characters)
         return array("I", [token.id for token in self.model.tokenize(seen)]).tobytes()
 
     def word(self, word: str) -> bytes:
@@ -100,7 +105,7 @@ class ByteEncoder:
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of one text as little-endian unsigned integers of 32 bits."""
-        if not text or UNEVEN_GAPS(text):
+        if not text or text[0] in " \n" or text[-1] in " \n" or OTHER_BLANK(text) or any(pair in text for pair in PAIRS):
             return np.frombuffer(self.whole(text), "<u4")
         return np.frombuffer(b"".join(map(self.words.__getitem__, (START + text.replace("\n", " \n")).split(" "))), "<u4")
 
