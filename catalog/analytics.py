@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
+from catalog.profiling import quantities_with_nan
 from tidemart.functions.tails import correlation_p_value
 from tidemart.operators import features, series, stats
 
@@ -149,6 +150,21 @@ def pearson_by_flag(spark, sf):
     return out.withColumns({"correlation": F.round("correlation", 6), "p_value": F.round("p_value", 6)})
 
 
+@query("STAT1", f"""WITH c AS (SELECT corr(CASE WHEN l_linenumber <> 3 THEN l_quantity END, l_tax) AS r, count(CASE WHEN l_linenumber <> 3 THEN 1 END) AS n FROM lineitem)
+SELECT round(r, 6) AS correlation, round({p_sql('r', 'n')}, 6) AS p_value, {p_sql('r', 'n')} < 0.05 AS significant, n AS n_samples FROM c""")
+def pearson_with_nan(spark, sf):
+    out = stats.pearson(quantities_with_nan(spark, sf), "x", "l_tax")
+    return out.withColumns({"correlation": F.round("correlation", 6), "p_value": F.round("p_value", 6)})
+
+
+@query("STAT2", f"""WITH l AS (SELECT * FROM lineitem WHERE l_linenumber <> 3), r AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS a,
+  rank() OVER (ORDER BY l_tax) + (count(*) OVER (PARTITION BY l_tax) - 1) / 2.0 AS b FROM l), c AS (SELECT corr(a, b) AS r, count(*) AS n FROM r)
+SELECT round(r, 6) AS correlation, round({p_sql('r', 'n')}, 6) AS p_value, {p_sql('r', 'n')} < 0.05 AS significant FROM c""")
+def spearman_with_nan(spark, sf):
+    out = stats.spearman(quantities_with_nan(spark, sf), "x", "l_tax")
+    return out.withColumns({"correlation": F.round("correlation", 6), "p_value": F.round("p_value", 6)})
+
+
 @query("STAT2", f"""WITH r AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS a,
   rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS b FROM lineitem),
 c AS (SELECT corr(a, b) AS r, count(*) AS n FROM r)

@@ -111,7 +111,7 @@ def driver_actions(spark, sf):
     return explain.attach_actions(kinds, {"PROMO": "cut price", "LARGE": "add stock", "NONE": "never"}, "watch")
 
 
-# Splits and resampling: SQL has no equal hash, so the sizes are compared; the rows are tested for properties.
+# Splits and resampling: sizes, and the rows themselves by the same hash.
 
 @query("ML2", """WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1), t AS (SELECT ceil(0.2 * sum(n)) AS want, sum(n) AS total FROM c),
 e AS (SELECT o_orderstatus, n, want, want * n / total AS x, floor(want * n / total) AS b FROM c, t),
@@ -123,6 +123,27 @@ def stratified_split(spark, sf):
     return counted[0].join(counted[1], "o_orderstatus")
 
 
+@query("ML2", """WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1), t AS (SELECT ceil(0.2 * sum(n)) AS want, sum(n) AS total FROM c),
+e AS (SELECT o_orderstatus, want, want * n / total AS x, floor(want * n / total) AS b FROM c, t),
+f AS (SELECT *, row_number() OVER (ORDER BY round(x - b, 9) DESC, o_orderstatus) AS turn, want - sum(b) OVER () AS spare FROM e),
+p AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey::VARCHAR || ':42'), o_orderkey) AS place FROM orders)
+SELECT o_orderkey, place <= b + CASE WHEN turn <= spare THEN 1 ELSE 0 END AS is_test FROM p JOIN f USING (o_orderstatus)""")
+def stratified_split_rows(spark, sf):
+    train, test = prep.split_train_test(table(spark, sf, "orders"), "o_orderkey", "o_orderstatus", stratify=True)
+    return train.select("o_orderkey", F.lit(False).alias("is_test")).unionByName(test.select("o_orderkey", F.lit(True).alias("is_test")))
+
+
+@query("ML9", """SELECT o_orderkey, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey::VARCHAR || ':42'), o_orderkey) - 1) % 5 AS INTEGER) AS fold FROM orders""")
+def fold_rows(spark, sf):
+    return prep.with_folds(table(spark, sf, "orders"), "o_orderkey", "o_orderstatus").select("o_orderkey", "fold")
+
+
+@query("ML15", """WITH p AS (SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id::VARCHAR || ':42'), doc_id) AS place FROM labels)
+SELECT doc_id, toxic FROM p WHERE place <= (SELECT min(n) FROM (SELECT count(*) AS n FROM labels GROUP BY toxic))""")
+def undersampled_rows(spark, sf):
+    return prep.undersample(table(spark, sf, "labels"), "doc_id", "toxic").select("doc_id", "toxic")
+
+
 @query("ML2", "SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS test_rows, CAST(count(*) - ceil(0.2 * count(*)) AS BIGINT) AS train_rows FROM orders")
 def plain_split(spark, sf):
     train, test = prep.split_train_test(table(spark, sf, "orders"), "o_orderkey", "o_orderstatus")
@@ -167,10 +188,13 @@ def preprocessed_parts(spark, sf):
     return out.select("p_partkey", (F.round(values[0], 6) + 0.0).alias("size_scaled"), hot.alias("hot_sum"), F.col("kind__filled").isNotNull().alias("has_kind"), F.col("kind__filled").alias("kind"))
 
 
-def labelled_documents(spark, sf):
+def document_features(spark, sf):
     d = table(spark, sf, "documents")
-    d = d.select("doc_id", "n_chars", F.size(F.split("text", " ")).alias("n_words"), F.contains("text", F.lit("!!")).cast("int").alias("shouts"), "lang", "source")
-    return d.join(table(spark, sf, "labels"), "doc_id")
+    return d.select("doc_id", "n_chars", F.size(F.split("text", " ")).alias("n_words"), F.contains("text", F.lit("!!")).cast("int").alias("shouts"), "lang", "source")
+
+
+def labelled_documents(spark, sf):
+    return document_features(spark, sf).join(table(spark, sf, "labels"), "doc_id")
 
 
 def line_regression(spark, sf):
@@ -206,20 +230,12 @@ def _fit_and_rank(spark, sf, sets, label, evaluator):
 
 @query("ML4 ML7", note="MLlib fits, run without an equal in SQL")
 def quality_classifiers(spark, sf):
-    def chosen(prepared, label):
-        made = models.classification_models(prepared, label)
-        return {n: made[n] for n in ("log_reg", "decision_tree")}
-
-    return _fit_and_rank(spark, sf, chosen, "quality", evaluate.evaluate_classification)
+    return _fit_and_rank(spark, sf, models.classification_models, "quality", evaluate.evaluate_classification)
 
 
 @query("ML5 ML7", note="MLlib fits of the light set")
 def light_classifiers(spark, sf):
-    def chosen(prepared, label):
-        made = models.light_classification_models(prepared, label)
-        return {n: made[n] for n in ("logreg", "rf")}
-
-    return _fit_and_rank(spark, sf, chosen, "quality", evaluate.evaluate_classification)
+    return _fit_and_rank(spark, sf, models.light_classification_models, "quality", evaluate.evaluate_classification)
 
 
 @query("ML3 ML6", note="MLlib fits")
@@ -227,29 +243,29 @@ def length_regressors(spark, sf):
     rows = labelled_documents(spark, sf)
     train, test = [prep.materialize(part, "part") for part in prep.split_train_test(rows, "doc_id", "quality")]
     made = models.light_regression_models(prep.build_preprocessor(["n_words", "shouts"], CATEGORICAL), "n_chars")
-    return evaluate.evaluate_regression({n: made[n].fit(train) for n in ("linear", "rf")}, test, "n_chars")
+    return evaluate.evaluate_regression({n: made[n].fit(train) for n in made}, test, "n_chars")
 
 
 @query("ML9 AGG30", note="MLlib fits per fold")
 def cross_validated_quality(spark, sf):
-    model = models.classification_models(prep.build_preprocessor(NUMERIC, ["lang"]), "quality")["log_reg"]
-    return evaluate.aggregate_folds(tracking.cross_validate(model, labelled_documents(spark, sf), "quality", "doc_id", 3))
+    model = models.classification_models(prep.build_preprocessor(NUMERIC, CATEGORICAL), "quality")["log_reg"]
+    return evaluate.aggregate_folds(tracking.cross_validate(model, labelled_documents(spark, sf), "quality", "doc_id"))
 
 
-@query("ML8", note="MLlib grid search; the best parameters scored on all rows")
+@query("ML8", note="MLlib grid search on the training rows; the best parameters scored on the test rows")
 def tuned_quality(spark, sf):
-    rows = labelled_documents(spark, sf)
-    model = models.classification_models(prep.build_preprocessor(NUMERIC, ["lang"]), "quality")["log_reg"]
-    best, params = tracking.tune(model, {"regParam": [0.01, 0.1]}, rows, "quality", "doc_id")
-    scored = evaluate.classification_metrics(evaluate.with_score(best.transform(rows)), "quality", score="score")
+    train, test = [prep.materialize(part, "part") for part in prep.split_train_test(labelled_documents(spark, sf), "doc_id", "quality", stratify=True)]
+    model = models.classification_models(prep.build_preprocessor(NUMERIC, CATEGORICAL), "quality")["log_reg"]
+    best, params = tracking.tune(model, {"C": [0.1, 1.0, 3.0]}, train, "quality", "doc_id")
+    scored = evaluate.classification_metrics(evaluate.with_score(best.transform(test)), "quality", score="score")
     return scored.withColumn("params", F.lit(repr(params)))
 
 
-@query("ML17", note="MLlib batch scoring")
+@query("ML17", note="MLlib batch scoring of every document by a model of the labelled ones")
 def scored_documents(spark, sf):
     rows = labelled_documents(spark, sf)
     model = models.classification_models(prep.build_preprocessor(NUMERIC, ["lang"]), "toxic")["log_reg"].fit(rows)
-    return explain.score_transactions(model, rows, "v1", "doc_id")
+    return explain.score_transactions(model, document_features(spark, sf), "v1", "doc_id")
 
 
 @query("ML16 AGG25 PIPE5", note="k-means clusters of customers")

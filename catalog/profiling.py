@@ -214,6 +214,33 @@ def duplicate_rows(spark, sf):
     return profile.duplicate_rows(table(spark, sf, "documents").select("text", "lang"))
 
 
+NAN_SQL = "WITH v AS (SELECT l_returnflag, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS x FROM lineitem)"
+
+
+def quantities_with_nan(spark, sf):
+    """Quantities with NaN where the line number is 3: missing values as pandas writes them."""
+    x = F.when(F.col("l_linenumber") != 3, F.col("l_quantity").cast("double")).otherwise(F.lit(float("nan")))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_tax", x.alias("x"))
+
+
+@query("AGG20", f"""{NAN_SQL} SELECT l_returnflag, 'x' AS "column", count(x) AS "count", round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, min(x)::DOUBLE AS "min",
+max(x)::DOUBLE AS "max", round(quantile_cont(x, 0.5), 4) AS p50 FROM v GROUP BY l_returnflag""")
+def description_with_nan(spark, sf):
+    out = profile.describe_by_class(quantities_with_nan(spark, sf), "l_returnflag", ["x"], (0.5,))
+    return out.withColumns({c: F.round(c, 4) for c in ("mean", "std", "p50")})
+
+
+@query("AGG13", f"{NAN_SQL} SELECT count(x) / count(*)::DOUBLE AS coverage FROM v")
+def coverage_with_nan(spark, sf):
+    return profile.coverage(quantities_with_nan(spark, sf), "x")
+
+
+@query("FLT11", f"{NAN_SQL} SELECT round(sum(coalesce(x, (SELECT avg(x) FROM v))), 2) AS total, count(*) AS n FROM v")
+def mean_filled_nan(spark, sf):
+    filled = cleaning.handle_missing(quantities_with_nan(spark, sf), "fill_mean", ["x"])
+    return filled.agg(F.round(F.sum("x"), 2).alias("total"), F.count("x").alias("n"))
+
+
 @query("AGG20", " UNION ALL ".join(
     f"""SELECT l_returnflag, '{c}' AS "column", count({c}) AS "count", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c})::DOUBLE AS "min",
 max({c})::DOUBLE AS "max", round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.9), 4) AS p90, round(quantile_cont({c}, 0.99), 4) AS p99
@@ -296,10 +323,10 @@ def confusion(spark, sf):
 
 # Sorting, top-n and sampling.
 
-@query("TOP1", """SELECT * FROM (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderstatus, o_totalprice DESC NULLS LAST, o_orderkey LIMIT 25)""")
+@query("TOP1", """SELECT * FROM (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderstatus, o_totalprice DESC NULLS LAST, o_orderkey)""")
 def sorted_orders(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return o.orderBy(*cleaning.output_order(o, ["o_orderstatus", ("o_totalprice", False), ("absent", True), "o_orderkey"])).limit(25)
+    return o.orderBy(*cleaning.output_order(o, ["o_orderstatus", ("o_totalprice", False), ("absent", True), "o_orderkey"]))
 
 
 @query("TOP2", """SELECT event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 100""")
@@ -320,7 +347,7 @@ def sample_texts(spark, sf):
     return head.select("lang", "doc_id", F.left("text", F.lit(200)).alias("shown"))
 
 
-@query("TOP4", note="random rows: SQL has no equal hash; size, repeatability and subset are tested")
+@query("TOP4", "SELECT * FROM (SELECT * FROM orders ORDER BY md5(o_orderkey::VARCHAR || ':42'), o_orderkey LIMIT 8000)")
 def sampled_orders(spark, sf):
     return order.sample_if_larger(table(spark, sf, "orders"), "o_orderkey", 8000)
 
@@ -330,6 +357,13 @@ def stratified_sample_sizes(spark, sf):
     return order.sample_share_per_group(table(spark, sf, "part"), "p_type", "p_partkey", 500).groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("TOP5", """WITH r AS (SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type ORDER BY md5(p_partkey::VARCHAR || ':42'), p_partkey) AS r,
+  count(*) OVER (PARTITION BY p_type) AS n FROM part)
+SELECT p_type, p_partkey FROM r WHERE r <= round_even(least(500.0 / (SELECT count(*) FROM part), 1) * n, 0)""")
+def stratified_sample_rows(spark, sf):
+    return order.sample_share_per_group(table(spark, sf, "part"), "p_type", "p_partkey", 500).select("p_type", "p_partkey")
+
+
 # Scalars.
 
 @query("SCL2 SCL3 SCL8", """SELECT page_id, url, regexp_replace(url, '[^\\p{L}\\p{N}\\-_.]', '_', 'g') AS safe,

@@ -32,7 +32,9 @@ def test_preprocessor(spark):
     assert explain.feature_names(model.transform(new)) == ["__scaled_0", "c__hot_x", "c__hot_y"]
     hashed = prep.build_preprocessor(["n"], [], ["c"]).fit(train).transform(new)
     assert hashed.schema["features"].metadata["ml_attr"]["num_attrs"] == 1 + (1 << 18)
-    assert prep.split_by_levels(train, ["c"], 1) == ([], ["c"]) and prep.split_by_levels(train, ["c"]) == (["c"], [])
+    assert prep.split_by_levels(train, ["c"], ["c"]) == ([], ["c"]) and prep.split_by_levels(train, ["c"]) == (["c"], [])
+    with pytest.raises(ValueError, match="hashed"):
+        prep.split_by_levels(train, ["c"], max_levels=1)
 
 
 def test_splits_and_folds(rows):
@@ -106,7 +108,8 @@ def test_tuning_and_tracking(spark, rows, folder):
     train, test = [prep.materialize(d) for d in prep.split_train_test(rows, "id", "y", stratify=True)]
     with pytest.raises(ValueError):
         tracking.tune(model, {"regParam": [0.1]}, train, "y", "id", "other")
-    assert len(tracking.parameter_maps(model, {"regParam": [0.1, 1.0, 2.0], "maxIter": [5, 6]}, "random", 4)) == 4
+    assert len(tracking.combinations({"regParam": [0.1, 1.0, 2.0], "maxIter": [5, 6]}, "random", 4)) == 4
+    assert list(tracking.parameter_map(model, {"C": 2.0}, 50).values()) == [0.01]
     tracker = tracking.Tracker(spark, f"{folder}/ml")
     assert tracker.register_best("exp").count() == 0
     _, metrics = tracker.run("exp", "plain", model, train, test, "y", "id", {"regParam": [0.0, 50.0]})

@@ -62,6 +62,6 @@ def test_inventory_is_covered():
 
 def test_filters_and_columns_reach_the_scan(spark):
     plan = REGISTRY["date_alignment"].run(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "props" not in plan and "EqualTo" in plan or "PushedFilters" in plan
+    assert "props" not in plan and "EqualTo(event_type,view)" in plan
     plan = REGISTRY["claims_chi_square"].run(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan

@@ -12,6 +12,12 @@ def number(c: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def present(c: Column) -> Column:
+    """A numeric column as double, with NaN as null."""
+    value = c.cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def log1p_number(c: Column) -> Column:
     value = number(c)
     return F.when(value > -1, F.log1p(value))
@@ -22,13 +28,13 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 
 def clamp(c: Column, size: float = 1.0) -> Column:
-    """Within -size..size; null stays null (least and greatest would skip it)."""
-    return F.when(c > size, size).when(c < -size, -size).otherwise(c)
+    """Within -size..size; null stays null (least and greatest would skip it), NaN becomes null (it sorts above size)."""
+    return F.when(F.isnan(c), F.lit(None)).when(c > size, size).when(c < -size, -size).otherwise(c)
 
 
 def guarded_corr(x: Column, y: Column) -> tuple[Column, Column]:
-    """(r, n) over complete pairs; r is null for a constant side instead of raising."""
-    both = x.isNotNull() & y.isNotNull()
+    """(r, n) over complete pairs (NaN is missing); r is null for a constant side instead of raising."""
+    both = present(x).isNotNull() & present(y).isNotNull()
     a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
     spread = F.sqrt(F.var_pop(a)) * F.sqrt(F.var_pop(b))
     r = F.try_divide(F.covar_pop(a, b), F.nullif(spread, F.lit(0.0)))

@@ -23,10 +23,11 @@ def regression_models(preprocessor: Pipeline, label: str, seed: int = 42) -> dic
     })
 
 
-def classification_models(preprocessor: Pipeline, label: str, seed: int = 42) -> dict[str, Pipeline]:
+def classification_models(preprocessor: Pipeline, label: str, seed: int = 42, rows: int | None = None) -> dict[str, Pipeline]:
+    """With `rows`, the number of training rows, the logistic model has the penalty of C = 1, which is 1 / rows here; without, none."""
     common = {"featuresCol": "features", "labelCol": label}
     return _with(preprocessor, {
-        "log_reg": LogisticRegression(**common, maxIter=1000),
+        "log_reg": LogisticRegression(**common, maxIter=1000, regParam=1.0 / rows if rows else 0.0),
         "decision_tree": DecisionTreeClassifier(**common, maxDepth=UNLIMITED_DEPTH, seed=seed),
         "random_forest_clf": RandomForestClassifier(**common, numTrees=150, maxDepth=UNLIMITED_DEPTH, seed=seed),
         "gradient_boosting_clf": GBTClassifier(**common, maxIter=100, stepSize=0.1, maxDepth=3, seed=seed),

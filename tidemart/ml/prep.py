@@ -73,12 +73,19 @@ def build_preprocessor(numeric: Iterable[str], categorical: Iterable[str], hashe
     return Pipeline(stages=stages)
 
 
-def split_by_levels(df: DataFrame, categorical: Sequence[str], max_levels: int = 10_000) -> tuple[list[str], list[str]]:
-    """Categories with few enough levels for one-hot, and those to hash."""
-    if not categorical:
-        return [], []
-    levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    return [c for c in categorical if levels[c] <= max_levels], [c for c in categorical if levels[c] > max_levels]
+def split_by_levels(df: DataFrame, categorical: Sequence[str], hashed: Iterable[str] = (), max_levels: int = 10_000) -> tuple[list[str], list[str]]:
+    """Categories to encode one-hot, and those of them that the caller names to be hashed.
+
+    Levels of one-hot columns are held on the driver: a column with more than `max_levels` that is not named is an error.
+    """
+    many = [c for c in categorical if c in set(hashed)]
+    few = [c for c in categorical if c not in many]
+    if few:
+        levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in few]).first()
+        large = [c for c in few if levels[c] > max_levels]
+        if large:
+            raise ValueError(f"more than {max_levels} levels for one-hot columns; name them in `hashed`: {', '.join(large)}")
+    return few, many
 
 
 def test_sizes(df: DataFrame, target: str, test_size: float = 0.2) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,31 +25,52 @@ def f1_evaluator(label: str) -> Evaluator:
     return MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-def parameter_maps(model: Pipeline, grid: dict[str, Sequence], search: str = "grid", draws: int = 10, seed: int = 42) -> list[dict]:
-    """All combinations of the last stage's parameters, or `draws` different ones of them."""
-    estimator = model.getStages()[-1]
+def combinations(grid: dict[str, Sequence], search: str = "grid", draws: int = 10, seed: int = 42) -> list[dict]:
+    """All combinations of the grid, or `draws` different ones of them."""
     names = list(grid)
     combos = [dict(zip(names, values)) for values in itertools.product(*[grid[n] for n in names])]
     if search == "random":
         combos = random.Random(seed).sample(combos, min(draws, len(combos)))
     elif search != "grid":
         raise ValueError("search must be 'grid' or 'random'")
-    return [{estimator.getParam(n): v for n, v in combo.items()} for combo in combos]
+    return combos
+
+
+def parameter_map(model: Pipeline, combo: dict, rows: int) -> dict:
+    """A combination as parameters of the last stage. C weighs a sum of losses and `regParam` stands against their mean
+    over `rows` rows, so C becomes regParam = 1 / (C rows)."""
+    estimator = model.getStages()[-1]
+    named = {("regParam" if n == "C" else n): (1.0 / (v * max(1, rows)) if n == "C" else v) for n, v in combo.items()}
+    return {estimator.getParam(n): v for n, v in named.items()}
 
 
 def tune(
     model: Pipeline, grid: dict[str, Sequence], train: DataFrame, label: str, key: str, search: str = "grid", cv: int = 3,
     evaluator: Evaluator | None = None, parallelism: int = 2, seed: int = 42,
 ) -> tuple[PipelineModel, dict]:
-    """Best pipeline refitted on all of `train`, and its parameters; stratified folds."""
-    maps = parameter_maps(model, grid, search, seed=seed)
+    """Best pipeline refitted on all of `train`, and its parameters; stratified folds.
+
+    Everything before the last stage is fitted once per fold and its output written, whatever the size of the grid.
+    """
+    combos = combinations(grid, search, seed=seed)
+    judge = evaluator or f1_evaluator(label)
     folds = materialize(with_folds(train, key, label, cv, seed, "fold"), "folds")
-    validator = CrossValidator(
-        estimator=model, estimatorParamMaps=maps, evaluator=evaluator or f1_evaluator(label), numFolds=cv, foldCol="fold", parallelism=parallelism
-    )
-    fitted = validator.fit(folds)
-    best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i] * (1 if validator.getEvaluator().isLargerBetter() else -1))
-    return fitted.bestModel, {p.name: v for p, v in maps[best].items()}
+    *before, last = model.getStages()
+    totals = [0.0] * len(combos)
+    for fold in range(cv):
+        part = folds.filter(F.col("fold") != fold)
+        ready = Pipeline(stages=before).fit(part)
+        learn = materialize(ready.transform(part), "learn")
+        check = materialize(ready.transform(folds.filter(F.col("fold") == fold)), "check")
+        rows = learn.count()
+
+        def score(combo: dict, learn=learn, check=check, rows=rows) -> float:
+            return judge.evaluate(last.fit(learn, parameter_map(model, combo, rows)).transform(check))
+
+        with ThreadPool(parallelism) as pool:
+            totals = [total + value for total, value in zip(totals, pool.map(score, combos))]
+    best = max(range(len(combos)), key=lambda i: totals[i] * (1 if judge.isLargerBetter() else -1))
+    return model.fit(train, parameter_map(model, combos[best], train.count())), combos[best]
 
 
 def cross_validate(model: Pipeline, df: DataFrame, label: str, key: str, cv: int = 5, seed: int = 42) -> DataFrame:

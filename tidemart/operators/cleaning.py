@@ -19,7 +19,7 @@ from tidemart.session import spread
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One kind of missing value: NaN in any floating column becomes null."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    return df.withColumns({c: F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")) for c in floats}) if floats else df
 
 
 def convert_to_datetime(df: DataFrame, column: str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> DataFrame:
@@ -36,8 +36,9 @@ def handle_missing(
     """drop, ffill, bfill or fill_mean; any other strategy leaves the frame as it is.
 
     ffill / bfill fill every column along `order` inside `keys` (order must be given: rows have none
-    of their own), in segments, so one long series is not one task.
+    of their own), in segments, so one long series is not one task. NaN is missing.
     """
+    df = nan_to_null(df)
     if strategy == "drop":
         return df.dropna(subset=list(columns) if columns else None)
     if strategy in ("ffill", "bfill"):

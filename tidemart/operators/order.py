@@ -124,8 +124,8 @@ def head_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], n:
 
 
 def hash_order(key: str, seed: int) -> Column:
-    """Repeatable random place of a row, from its key and a seed."""
-    return F.xxhash64(F.col(key), F.lit(seed))
+    """Repeatable random place of a row: the MD5 of its key and a seed, which other engines compute as well."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -159,7 +159,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     a whole group (the built-in `percentile` keeps every distinct value of a group in one buffer).
     """
     keys = list(keys)
-    present = spread(df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v")))
+    number = F.col(value).cast("double")  # NaN is missing
+    present = spread(df.select(*keys, F.when(~F.isnan(number), number).alias("__v")).filter(F.col("__v").isNotNull()))
     if approximate:
         return present.groupBy(*keys).agg(*[F.percentile_approx("__v", p, 10000).alias(name) for name, p in probs.items()])
     counts = present.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
@@ -184,11 +185,12 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
 
 
 def value_ranks(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
-    """One row per distinct value: `value`, `n` (ties) and `avg_rank` among all non-null rows.
+    """One row per distinct value: `value`, `n` (ties) and `avg_rank` among all rows that have one (NaN is missing).
 
     `weight` is a column of row counts when the rows are already grouped.
     """
     size = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(size.alias("n"))
+    missing = F.coalesce(F.isnan(F.col(value).try_cast("double")), F.lit(False)) | F.col(value).isNull()
+    counts = df.filter(~missing).groupBy(F.col(value).alias("value")).agg(size.alias("n"))
     cum = running(counts, [], ["value"], {"cum": ("sum", F.col("n"))})
     return cum.select("value", "n", (F.col("cum") - (F.col("n") - 1) / 2.0).alias("avg_rank"))

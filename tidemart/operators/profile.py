@@ -8,11 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.functions.numeric import present as without_nan
 from tidemart.operators.order import null_safe_join, quantiles
 
 ORDERED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null, where it can hold NaN."""
+    cell = F.col(f"`{column}`")
+    return F.when(~F.isnan(cell), cell) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else cell
+
+
+def _comparable(df: DataFrame, column: str) -> Column:
+    """A form of the column that min and max can compare: nested and binary values as text, maps by sorted entries."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, ORDERED):
+        return known(df, column)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(f"`{column}`")
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        cell = F.col(f"`{column}`")
+        entries = F.array_sort(F.map_entries(cell)) if isinstance(kind, T.MapType) else cell
+        return F.when(cell.isNotNull(), F.to_json(F.struct(entries.alias("v"))))
+    return F.col(f"`{column}`").cast("string")
+
+
 def _as_rows(one_row: DataFrame, cells: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*cells)))
 
@@ -20,7 +41,7 @@ def _as_rows(one_row: DataFrame, cells: Sequence[Column]) -> DataFrame:
 def missingness(df: DataFrame) -> DataFrame:
     """column, dtype, missing_pct (2 decimals), non_null; one scan."""
     kinds = dict(df.dtypes)
-    counted = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    counted = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(known(df, c)).alias(c) for c in df.columns])
     cells = [
         F.struct(
             F.lit(c).alias("column"),
@@ -37,7 +58,7 @@ def coverage(df: DataFrame, column: str) -> DataFrame:
     """Share of rows with a value; 0.0 for a missing column or no rows."""
     if column not in df.columns:
         return df.sparkSession.range(1).select(F.lit(0.0).alias("coverage"))
-    share = F.try_divide(F.count(column).cast("double"), F.count(F.lit(1)))
+    share = F.try_divide(F.count(known(df, column)).cast("double"), F.count(F.lit(1)))
     return df.agg(F.coalesce(share, F.lit(0.0)).alias("coverage"))
 
 
@@ -79,17 +100,18 @@ def class_distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def constant_columns(df: DataFrame) -> DataFrame:
-    """Columns with at most one distinct value, null being a value; min, max and counts suffice."""
-    checked = [f.name for f in df.schema.fields if isinstance(f.dataType, ORDERED)]
+    """Columns of any type with at most one distinct value, null (and NaN) being a value; min, max and counts suffice."""
+    checked = df.columns
+    cells = {c: _comparable(df, c) for c in checked}
     counted = df.agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.count(c).alias(f"n_{c}") for c in checked],
-        *[F.min(c).eqNullSafe(F.max(c)).alias(f"s_{c}") for c in checked],
+        *[F.count(cells[c]).alias(f"n_{c}") for c in checked],
+        *[F.min(cells[c]).eqNullSafe(F.max(cells[c])).alias(f"s_{c}") for c in checked],
     )
     cells = [
         F.struct(
             F.lit(c).alias("column"),
-            ((F.col(f"n_{c}") == 0) | ((F.col(f"n_{c}") == F.col("__n")) & F.col(f"s_{c}"))).alias("constant"),
+            ((F.col(f"`n_{c}`") == 0) | ((F.col(f"`n_{c}`") == F.col("__n")) & F.col(f"`s_{c}`"))).alias("constant"),
         )
         for c in checked
     ]
@@ -132,7 +154,7 @@ def describe_by_class(
     present = [c for c in columns if c in df.columns]
     long = (
         df.filter(F.col(class_col).isNotNull())
-        .select(class_col, *[F.col(c).cast("double").alias(c) for c in present])
+        .select(class_col, *[without_nan(F.col(c)).alias(c) for c in present])
         .unpivot([class_col], present, "column", "value")
     )
     keys = [class_col, "column"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
-from tidemart.functions.numeric import clamp, guarded_corr, safe_ratio
+from tidemart.functions.numeric import clamp, guarded_corr, present, safe_ratio
 from tidemart.functions.tails import chi_square_p_value, correlation_p_value
 from tidemart.operators.order import value_ranks
 from tidemart.session import materialize
@@ -18,7 +18,7 @@ from tidemart.session import materialize
 
 def windowed_corr(x: Column, y: Column, frame: WindowSpec) -> tuple[Column, Column]:
     """(r, pairs) over a window frame, null instead of an error for a constant side."""
-    both = x.isNotNull() & y.isNotNull()
+    both = present(x).isNotNull() & present(y).isNotNull()
     a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
     spread = F.sqrt(F.var_pop(a).over(frame)) * F.sqrt(F.var_pop(b).over(frame))
     return F.try_divide(F.covar_pop(a, b).over(frame), F.nullif(spread, F.lit(0.0))), F.count(F.when(both, 1)).over(frame)
@@ -47,7 +47,7 @@ def pearson(df: DataFrame, x: str, y: str, alpha: float = 0.05, keys: Sequence[s
 def spearman(df: DataFrame, x: str, y: str, alpha: float = 0.05) -> DataFrame:
     """Pearson on average ranks. Equal pairs are counted first; ranks come from the value counts."""
     pairs = (
-        df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+        df.filter(present(F.col(x)).isNotNull() & present(F.col(y)).isNotNull())
         .groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
         .agg(F.count(F.lit(1)).alias("w"))
     )

@@ -23,7 +23,7 @@ RAW_SCHEMA = ", ".join(f"{name} {kind}" for name, (kind, _) in staging.MESSAGE_F
 
 # The parameters searched per kind of model.
 GRIDS = {
-    "log_reg": {"regParam": [10.0, 1.0, 1 / 3]},
+    "log_reg": {"C": [0.1, 1.0, 3.0]},
     "decision_tree": {"maxDepth": [5, 10, models.UNLIMITED_DEPTH], "minInstancesPerNode": [1, 2]},
     "random_forest": {"numTrees": [100, 200], "maxDepth": [models.UNLIMITED_DEPTH, 10]},
     "gradient_boosting": {"maxIter": [100, 200], "stepSize": [0.05, 0.1]},
@@ -103,18 +103,20 @@ def prepare_fraud_rows(df: DataFrame, countries: DataFrame | None = None) -> Dat
 def model_rows(
     spark: SparkSession, df: DataFrame, key: str, label: str, experiment: str, root: str, resampling: str = "undersample",
     drop: Iterable[str] = ("signup_time", "purchase_time"), names: Iterable[str] | None = None, use_cv: bool = False, tuned: bool = True,
-    quick_rows: int | None = None,
+    quick_rows: int | None = None, hashed: Iterable[str] = (),
 ) -> dict[str, DataFrame]:
     """Split, resample the training part, fit or cross-validate every model, compare, choose, register.
 
     resampling is "undersample", "smote" (numeric features only) or "none". Returns the comparison
-    and the choice; runs, models and the registry are below `root`.
+    and the choice; runs, models and the registry are below `root`. `quick_rows` bounds the rows that models are
+    fitted on (a sample by key hash); every test row is evaluated. `hashed` names the categories with too
+    many levels for one-hot columns.
     """
     rows = df.withColumn(label, F.col(label).cast("int"))
-    if quick_rows:
-        rows = sample_if_larger(rows, key, quick_rows)
     rows = materialize(rows, "modelling")
     train, test = prep.split_train_test(rows, key, label, [c for c in drop if c in rows.columns], stratify=True)
+    if quick_rows:
+        train = sample_if_larger(train, key, quick_rows)
     numeric = [f.name for f in train.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in (label, key)]
     categorical = [f.name for f in train.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
     if resampling == "smote":
@@ -123,8 +125,8 @@ def model_rows(
     else:
         train = materialize(prep.undersample(train, key, label) if resampling == "undersample" else train, "train")
     test = materialize(test, "test")
-    few, many = prep.split_by_levels(train, categorical)
-    candidates = models.classification_models(prep.build_preprocessor(numeric, few, many), label)
+    few, many = prep.split_by_levels(train, categorical, hashed)
+    candidates = models.classification_models(prep.build_preprocessor(numeric, few, many), label, rows=max(1, train.count()))
     tracker, results = Tracker(spark, root), []
     for name, model in candidates.items():
         if names is not None and name not in names:
@@ -145,9 +147,10 @@ def model_rows(
     return {"comparison": compared, "choice": select_best_model(compared)}
 
 
-def index_chunks(df: DataFrame, id_col: str, text_col: str, product_col: str, path: str, embed=None, sample_size: int = 10_000) -> DataFrame:
-    """Stratified sample, chunk, embed by the caller's column function, write the collection."""
-    sampled = sample_share_per_group(df, product_col, id_col, sample_size)
+def index_chunks(df: DataFrame, id_col: str, text_col: str, product_col: str, path: str, embed=None, sample_size: int | None = None) -> DataFrame:
+    """Chunk every row, embed by the caller's column function, write the collection. With `sample_size` only a
+    stratified sample of about that many rows is indexed."""
+    sampled = df if sample_size is None else sample_share_per_group(df, product_col, id_col, sample_size)
     pieces = chunks.create_chunks(sampled, id_col, text_col, product_col)
     if embed is not None:
         pieces = pieces.withColumn("embedding", embed(F.col("text")))

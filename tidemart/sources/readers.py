@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions import text
+from tidemart.operators.cleaning import nan_to_null
 
 # Both namings of the landing files: the scraper's and the loader's.
 LANDING_SCHEMA = (
@@ -48,17 +49,20 @@ def read_landing(spark: SparkSession, folder: str, scrape_date: str | None = Non
     return df.select("*", F.col("_metadata.file_path").alias("origin_file"), F.monotonically_increasing_id().alias("origin_place"))
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame | None:
-    """CSV with a header; quoted cells may span lines. None when the path does not exist."""
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = False) -> DataFrame | None:
+    """CSV with a header, NaN read as null. None when the path does not exist.
+
+    A file is split into many partitions; `multi_line` allows quoted cells that span lines and reads each file in one task.
+    """
     if not path_exists(spark, path):
         return None
-    reader = spark.read.options(header=True, multiLine=True, escape='"')
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
+    return nan_to_null((reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path))
 
 
 def read_embeddings(spark: SparkSession, path: str, id_col: str, vector_col: str = "embeddings", columns: Sequence[str] = ()) -> DataFrame:
     """Vector table, only the columns asked for; vectors as array<float>."""
-    return spark.read.parquet(path).select(id_col, *columns, F.col(vector_col).cast("array<float>").alias(vector_col))
+    return nan_to_null(spark.read.parquet(path).select(id_col, *columns, F.col(vector_col).cast("array<float>").alias(vector_col)))
 
 
 def list_images(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,10 +77,8 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
 def read_table(spark: SparkSession, name: str, jdbc_options: dict[str, str] | None = None) -> DataFrame:
     """A catalog table, a parquet folder, or a JDBC table (pass partitionColumn / bounds to read it in parallel)."""
     if jdbc_options:
-        return spark.read.format("jdbc").options(dbtable=name, **jdbc_options).load()
-    if "/" in name:
-        return spark.read.parquet(name)
-    return spark.table(name)
+        return nan_to_null(spark.read.format("jdbc").options(dbtable=name, **jdbc_options).load())
+    return nan_to_null(spark.read.parquet(name) if "/" in name else spark.table(name))
 
 
 def normalise_reviews(raw: DataFrame, sources: DataFrame, code_col: str = "bank_code") -> DataFrame:
