@@ -143,6 +143,11 @@ def date_alignment(spark, sf):
 
 # Statistics.
 
+@query("JOIN8", "SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey IN (SELECT l_suppkey FROM lineitem GROUP BY l_suppkey HAVING count(*) >= 600)")
+def frequent_supplier_lines(spark, sf):
+    return stats.frequent_groups(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"), "l_suppkey", 600)
+
+
 @query("STAT1", f"""WITH c AS (SELECT l_returnflag, corr(l_quantity, l_tax) AS r, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT l_returnflag, round(r, 6) AS correlation, round({p_sql('r', 'n')}, 6) AS p_value, {p_sql('r', 'n')} < 0.05 AS significant, n AS n_samples FROM c""")
 def pearson_by_flag(spark, sf):

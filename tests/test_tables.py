@@ -94,7 +94,7 @@ def test_review_store(spark, folder):
 def test_files(spark, folder):
     df = spark.createDataFrame([(1, 'say "hi"\nthere', 2.5), (2, None, None)], "id int, t string, x double")
     writers.write_csv(df, f"{folder}/a/b/out")
-    assert sorted(map(tuple, readers.read_csv(spark, f"{folder}/a/b/out", df.schema).collect())) == sorted(map(tuple, df.collect()))
+    assert sorted(map(tuple, readers.read_csv(spark, f"{folder}/a/b/out", df.schema, multi_line=True).collect())) == sorted(map(tuple, df.collect()))
     assert readers.read_csv(spark, f"{folder}/absent") is None
     writers.write_metrics(spark, {"f1": 0.5, "n": {"a": 1}}, f"{folder}/m")
     assert json.loads(spark.read.text(f"{folder}/m").first()[0]) == {"f1": 0.5, "n": {"a": 1}}

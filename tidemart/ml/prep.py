@@ -154,7 +154,7 @@ def smote(df: DataFrame, key: str, target: str, features: Sequence[str], k: int
     square of a minority class.
     """
     point = F.array(*[F.col(c).cast("double") for c in features])
-    rows = materialize(df.select(F.col(key).cast("bigint").alias("id"), target, point.alias("point")), "points")
+    rows = materialize(df.select(F.col(key).alias("id"), target, point.alias("point")), "points")
     sizes = {r[target]: r["n"] for r in rows.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()}
     largest = max(sizes.values(), default=0)
     out = rows.select(target, "point", F.lit(False).alias("synthetic"))

@@ -39,22 +39,29 @@ def _nearest(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
         best[q] = found[0][first], found[1][first]
 
 
+def _id(df: DataFrame, column: str) -> Column:
+    """Integer ids as long, all others as text."""
+    return F.col(column).cast("bigint" if isinstance(df.schema[column].dataType, T.IntegralType) else "string")
+
+
 def knn_join(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str = "query_id", corpus_id: str = "vec_id", vector: str = "embedding", exclude_self: bool = False) -> DataFrame:
     """(query_id, corpus_id, distance, rank) of the k nearest corpus vectors of every query, ties by id.
 
     The corpus is never shuffled: each task streams its part past the queries and keeps k candidates
     per query; only those are exchanged. Queries travel in blocks of at most 64 MB, one pass over the
-    corpus per block, so their number is not bounded. Ids are integers. `exclude_self` leaves out the
+    corpus per block, so their number is not bounded. Ids are integers or text and keep their type. `exclude_self` leaves out the
     corpus row with the query's own id.
     """
     spark = queries.sparkSession
-    kept = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).cast("bigint").alias("q"), F.col(vector).cast("array<double>").alias("v"))
+    kept = queries.filter(F.col(vector).isNotNull()).select(_id(queries, query_id).alias("q"), F.col(vector).cast("array<double>").alias("v"))
     kept = materialize(kept, "queries")
     facts = kept.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
-    schema = T.StructType([T.StructField("q", T.LongType()), T.StructField("c", T.LongType()), T.StructField("distance", T.DoubleType())])
+    points = corpus.filter(F.col(vector).isNotNull()).select(_id(corpus, corpus_id).alias("c"), F.col(vector).cast("array<double>").alias("v"))
+    id_type = points.schema["c"].dataType
+    id_kind = "int64" if isinstance(id_type, T.LongType) else "<U1"
+    schema = T.StructType([T.StructField("q", kept.schema["q"].dataType), T.StructField("c", id_type), T.StructField("distance", T.DoubleType())])
     found = spark.createDataFrame([], schema)
     blocks = max(1, -(-facts["n"] * (facts["d"] or 1) * 8 // BLOCK_BYTES)) if facts["n"] else 0
-    points = corpus.filter(F.col(vector).isNotNull()).select(F.col(corpus_id).cast("bigint").alias("c"), F.col(vector).cast("array<double>").alias("v"))
     want = k + 1 if exclude_self else k
     for block in range(blocks):
         rows = kept.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == block).toPandas()
@@ -66,11 +73,12 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str =
 
         def search(batches: Iterator[pd.DataFrame], shared=shared, batch_rows=batch_rows) -> Iterator[pd.DataFrame]:
             names, matrix = shared.value
-            best = [(np.empty(0), np.empty(0, dtype="int64")) for _ in names]
+            best = [(np.empty(0), np.empty(0, dtype=id_kind)) for _ in names]
             for pdf in batches:
                 for start in range(0, len(pdf), batch_rows):
                     part = pdf.iloc[start : start + batch_rows]
-                    _nearest(matrix, part["c"].to_numpy(), np.stack(part["v"].to_numpy()).astype("float64"), want, best)
+                    ids = part["c"].to_numpy()
+                    _nearest(matrix, ids if ids.dtype != object else ids.astype(str), np.stack(part["v"].to_numpy()).astype("float64"), want, best)
             for name, (distance, ids) in zip(names, best):
                 if len(ids):
                     yield pd.DataFrame({"q": name, "c": ids, "distance": distance})

@@ -66,7 +66,7 @@ def daily_batch(spark: SparkSession, landing: str, warehouse: str, detections: D
 
 def clean_review_file(spark: SparkSession, source: str, target: str, cols: cleaning.ReviewColumns = cleaning.ReviewColumns()) -> dict[str, DataFrame] | bool:
     """CSV to cleaned CSV; returns the report frames, or False when the file is missing."""
-    raw = readers.read_csv(spark, source, readers.REVIEW_SCHEMA)
+    raw = readers.read_csv(spark, source, readers.REVIEW_SCHEMA, multi_line=True)  # review texts have line breaks
     if raw is None:
         return False
     clean = cleaning.clean_reviews(raw, cols)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,15 @@ def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(metrics),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def parts_of(df: DataFrame, key: str) -> Column:
+    """A hash of the key that cuts a hot partition of files into as many tasks as the session shuffles to."""
+    return F.pmod(F.xxhash64(key), F.lit(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def write_landing(df: DataFrame, folder: str, dry_run: bool = False) -> DataFrame:
     """JSON partitioned by scrape_date and channel_name; a dry run returns the plan without writing."""
     if not dry_run:
-        df.repartition("scrape_date", "channel_name", F.pmod(F.xxhash64("message_id"), F.lit(16))).write.mode("append").partitionBy(
+        df.repartition("scrape_date", "channel_name", parts_of(df, "message_id")).write.mode("append").partitionBy(
             "scrape_date", "channel_name"
         ).json(folder)
     return df
@@ -174,5 +179,5 @@ def export_statements(tables: dict[str, DataFrame], folder: str) -> None:
 
 def write_collection(chunks: DataFrame, path: str, mode: str = "append", rows_per_file: int = 1_000_000) -> None:
     """Chunk id, vector, metadata and text, partitioned by product; a hot product is spread over many files."""
-    spread = chunks.repartition("product", F.pmod(F.xxhash64("chunk_id"), F.lit(64)))
+    spread = chunks.repartition("product", parts_of(chunks, "chunk_id"))
     spread.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy("product").parquet(path)

@@ -43,8 +43,3 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
-
-
-def deduplicated_stream(messages: DataFrame, key: Sequence[str], time_col: str = "post_date", lateness: str = "7 days") -> DataFrame:
-    """Bounded-state variant: a repeat later than `lateness` is not recognised."""
-    return messages.withWatermark(time_col, lateness).dropDuplicatesWithinWatermark(list(key))
