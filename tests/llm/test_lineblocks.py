@@ -35,6 +35,12 @@ def test_clutter_inside_the_article():
     assert lb.main_text(f"<main>{inner}<div class='share-buttons'>Share</div></main>") == EXPECTED
 
 
+def test_frames_and_comments_with_telling_classes():
+    comment = "<article class='comment'><p>A reader says that this is not what they had hoped for, at length.</p></article>"
+    page = f"<div class='layout with-sidebar'><p>Menu</p><article><div class='entry-header'><h1>A title</h1></div>{BODY[16:]}</article><div id=comments>{comment}</div></div>"
+    assert lb.main_text(page) == EXPECTED
+
+
 def test_surge_and_dive_points():
     assert lb.between_surges_and_dives([2, 0, 0, 0, 90, 5, 0, 7, 0, 0, 0, 3], 3, 80) == [False] * 4 + [True] * 4 + [False] * 4
     assert lb.between_surges_and_dives([], 3, 80) == []

@@ -3,7 +3,7 @@
 Markup is stripped into lines, one per block element: elements that run inside a line add nothing, a line break is a
 blank. Lines inside elements that by tag, role, class or id are menus, headers, footers, sidebars, notices, adverts,
 forms or reader comments are taken out, and so are scripts, styles and comments of the markup; if the page
-marks an article or main part, so is what lies outside it. Over the lengths of the lines left (a line that is mostly
+marks an article or main part, so is what lies outside it (and a frame around it is no menu, whatever its class). Over the lengths of the lines left (a line that is mostly
 links outside a marked article counts as empty) sums of `window` successive lines are taken. Text surges at
 a line whose window reaches `surge` characters (or the page's highest sum, if that is less; in a marked article any text surges) and dives where
 a window is empty; the lines between are kept, short ones too, and headings right above a surge. Character references are decoded, white
@@ -46,6 +46,8 @@ ASIDE_WORDS = frozenset(
     "comments commentlist reply replies disqus respond pagination pager copyright legal skip".split()
 )
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Of these words, the ones that frames around a whole page carry as well ("with-sidebar"): an article inside takes it back.
+FRAME_WORDS = frozenset("nav navbar navigation menu sidebar side widget footer header masthead topbar banner cookie cookies consent notice alert modal overlay".split())
 MAIN_TAGS = frozenset(("article", "main"))
 
 _open = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
@@ -59,6 +61,7 @@ class Element:
     tag: str
     aside: bool
     main: bool
+    frame: bool = False  # an aside by a word that frames carry
 
 
 @dataclass
@@ -69,19 +72,24 @@ class Line:
     heading: bool = False
 
 
-def is_aside(tag: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element holds no part of the article; an article may have a header of its own."""
+def aside_of(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether an element holds no part of the article, and whether only a word says so that frames carry too.
+    An article may have a header of its own, and a comment may be marked as an article."""
     if tag in ASIDE_TAGS and not (tag == "header" and in_main):
-        return True
+        return True, False
     if "=" not in attributes or tag in ("html", "body", "main"):
-        return False
+        return False, False
+    frame = False
     for name, *values in _attribute.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value in ASIDE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and tag != "article" and not ASIDE_WORDS.isdisjoint(_word.findall(value)):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id"):
+            words = ASIDE_WORDS.intersection(_word.findall(value))
+            if words - FRAME_WORDS:
+                return True, False
+            frame = frame or tag != "article" and bool(words - {"header"} if in_main else words)
+    return frame, frame
 
 
 def page_lines(page: str) -> list[Line]:
@@ -160,7 +168,13 @@ def page_lines(page: str) -> list[Line]:
                 while stack and stack[-1].tag == "head":
                     pop()
             if tag not in VOID and not attributes.endswith("/"):
-                element = Element(tag, is_aside(tag, attributes, mains > 0), tag in MAIN_TAGS)
+                aside, frame = aside_of(tag, attributes, mains > 0)
+                if tag in MAIN_TAGS and not aside and not mains:
+                    for outer in stack:
+                        if outer.frame and outer.aside:
+                            outer.aside = False
+                            asides -= 1
+                element = Element(tag, aside, tag in MAIN_TAGS, frame)
                 stack.append(element)
                 asides += element.aside
                 mains += element.main
