@@ -273,6 +273,22 @@ def customer_clusters(spark, sf):
     return explain.cluster_means(explain.rfm_clusters(table(spark, sf, "orders"), "o_custkey", "o_orderdate", "o_totalprice"))
 
 
+@query("ML16 AGG25", "SELECT o_custkey, TRUE AS nearest_is_own FROM orders GROUP BY o_custkey")
+def clusters_are_nearest(spark, sf):
+    """The condition of the optimum: each customer is nearest to the centre of its own cluster, up to the fit's tolerance."""
+    rows = prep.materialize(explain.rfm_clusters(table(spark, sf, "orders"), "o_custkey", "o_orderdate", "o_totalprice"), "clusters")
+    names = ["Recency", "Frequency", "Monetary"]
+    scale = rows.agg(*[F.stddev_samp(c).alias(c) for c in names]).first()
+    centres = rows.groupBy("Cluster").agg(*[F.avg(c).alias(c) for c in names]).collect()  # as many rows as clusters
+
+    def distance(centre):
+        return sum((((F.col(c) - F.lit(float(centre[c]))) / F.lit(float(scale[c]))) ** 2 for c in names), F.lit(0.0))
+
+    own = F.coalesce(*[F.when(F.col("Cluster") == centre["Cluster"], distance(centre)) for centre in centres])
+    nearest = F.least(*[distance(centre) for centre in centres]) if len(centres) > 1 else own
+    return rows.select("o_custkey", (F.sqrt(own) <= F.sqrt(nearest) + 0.05).alias("nearest_is_own"))
+
+
 @query("ML16 AGG25 PIPE5", note="orders by the engagement label of their customer")
 def high_risk_orders(spark, sf):
     orders = table(spark, sf, "orders")

@@ -61,11 +61,13 @@ def split_text(text: str, size: int = 500, overlap: int = 50, separators: Sequen
 
 
 def create_chunks(
-    df: DataFrame, id_col: str, text_col: str = "cleaned_narrative", product_col: str = "Product", size: int = 500, overlap: int = 50
-) -> DataFrame:
+    df: DataFrame, id_col: str, text_col: str = "cleaned_narrative", product_col: str = "Product", size: int = 500, overlap: int = 50,
+    index_col: str | None = None,
+) -> DataFrame:
     """(chunk_id, complaint_id, product, text, chunk_index); blank texts give none.
 
-    The chunk id is a hash of document and position, so a re-run names the same chunks.
+    The chunk id is a hash of document and position, so a re-run names the same chunks. Rows have no number of their own;
+    with `index_col`, the column that numbers them, it comes along as `original_index`.
     """
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -73,9 +75,10 @@ def create_chunks(
         return texts.map(lambda t: split_text(t, size, overlap))
 
     rows = df.filter(F.col(text_col).isNotNull() & F.col(text_col).rlike(r"(?U)\S"))
-    cut = spread(rows.select(id_col, text_col, product_col)).select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("unknown")).alias("complaint_id"), F.col(product_col).alias("product"),
+    numbered = {"original_index": F.col(index_col)} if index_col else {}
+    cut = spread(rows.select(id_col, text_col, product_col, *[column.alias(name) for name, column in numbered.items()])).select(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("unknown")).alias("complaint_id"), F.col(product_col).alias("product"), *numbered,
         F.posexplode_outer(split(F.col(text_col))).alias("chunk_index", "text"),
     ).filter("text is not null")
     chunk_id = F.sha2(F.concat_ws(":", "complaint_id", F.col("chunk_index").cast("string")), 256)
-    return cut.select(chunk_id.alias("chunk_id"), "complaint_id", "product", "text", "chunk_index")
+    return cut.select(chunk_id.alias("chunk_id"), "complaint_id", "product", "text", "chunk_index", *numbered)
