@@ -119,14 +119,17 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def read_preferred(spark: SparkSession, processed: str, raw: str, prepare, side: str | None = None, schema=None) -> DataFrame | None:
-    """The processed CSV if it exists, else `prepare(raw frame, side frame or None)`."""
+def read_preferred(spark: SparkSession, processed: str, raw: str, prepare, side: str | None = None, schema=None, multi_line: bool = True) -> DataFrame | None:
+    """The processed CSV if it exists, else `prepare(raw frame, side frame or None)`.
+
+    Cells of these files may span lines (this library's own writer keeps them); without such cells `multi_line=False` reads in parallel.
+    """
     if path_exists(spark, processed):
-        return read_csv(spark, processed)
-    df = read_csv(spark, raw, schema)
+        return read_csv(spark, processed, multi_line=multi_line)
+    df = read_csv(spark, raw, schema, multi_line)
     if df is None:
         return None
-    return prepare(df, read_csv(spark, side) if side else None)
+    return prepare(df, read_csv(spark, side, multi_line=multi_line) if side else None)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
