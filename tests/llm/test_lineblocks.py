@@ -47,6 +47,26 @@ def test_surge_and_dive_points():
     assert lb.between_surges_and_dives([0, 4], 3, 80) == [False, True]
 
 
+def test_marked_pages_surge_and_dive():
+    links = "".join(f"<div><a href=/{i}>Some other story number {i}</a></div>" for i in range(9))
+    assert lb.main_text(f"<main><div>{links}</div>{BODY}<div>{links}</div></main>") == EXPECTED
+    assert lb.main_text(f"<article>{BODY}<div>{links}</div><p>Tags</p></article>") == EXPECTED
+    assert lb.main_text(f"<div>{links}</div><div>Short line</div><article>{BODY}</article><div>Short line</div><div>{links}</div>") == EXPECTED
+
+
+def test_text_outside_a_short_marked_part():
+    teaser = "A teaser of the piece, in one line."
+    assert lb.main_text(f"<article><p>{teaser}</p></article><div>{BODY}</div>") == f"{teaser}\n\n{EXPECTED}"
+    assert lb.main_text(f"<article>Yes.</article><div>{BODY}</div><p>No.</p>") == f"Yes.\n\n{EXPECTED}\n\nNo."
+    assert lb.main_text(f"<div>{BODY}</div><main><p>{teaser}</p></main>") == f"{EXPECTED}\n\n{teaser}"
+
+
+def test_link_lines_between_surge_and_dive_stay():
+    inner = BODY.replace("<p>Short.</p>", "<p><a href=/s>Short.</a></p>")
+    for page in (f"<article>{inner}</article>", f"<div>{inner}</div>"):
+        assert lb.main_text(page) == EXPECTED
+
+
 def test_broken_markup():
     assert lb.main_text("<p>one<p>two") == "one\n\ntwo"
     assert lb.main_text("a < b and <b>c") == "a < b and c"

@@ -2,11 +2,13 @@
 
 Markup is stripped into lines, one per block element: elements that run inside a line add nothing, a line break is a
 blank. Lines inside elements that by tag, role, class or id are menus, headers, footers, sidebars, notices, adverts,
-forms or reader comments are taken out, and so are scripts, styles and comments of the markup; if the page
-marks an article or main part, so is what lies outside it (and a frame around it is no menu, whatever its class). Over the lengths of the lines left (a line that is mostly
-links outside a marked article counts as empty) sums of `window` successive lines are taken. Text surges at
-a line whose window reaches `surge` characters (or the page's highest sum, if that is less; in a marked article any text surges) and dives where
-a window is empty; the lines between are kept, short ones too, and headings right above a surge. Character references are decoded, white
+forms or reader comments are taken out, and so are scripts, styles and comments of the markup (a frame around a marked
+article or main part is no menu, whatever its class). Over the lengths of the lines left (a line that is mostly
+links counts as empty) sums of `window` successive lines are taken. Text surges at
+a line whose window reaches `surge` characters (or the page's highest sum, if that is less) and dives where
+a window is empty; the lines between are kept, short ones and those of links too, and headings right above a surge. Where a page
+marks an article or main part, the mark is a weight: a character inside counts `MAIN_WEIGHT` times, the part's own highest
+sum is enough there, and windows end at its edges, so that text outside has to surge by itself. Character references are decoded, white
 space inside a line becomes one blank, and lines are joined by an empty line.
 
 Null pages are empty and give an empty text. Unclosed elements end with the element around them; an unclosed comment,
@@ -28,6 +30,7 @@ from tidemart.llm.rows import quoted, with_results
 
 WINDOW, SURGE = 3, 80
 LINK_SHARE = 0.5
+MAIN_WEIGHT = 4
 
 #: Fixed values of the markup language.
 RAW = frozenset("script style textarea title noscript template svg math iframe object canvas select".split())
@@ -182,14 +185,21 @@ def page_lines(page: str) -> list[Line]:
     return lines
 
 
-def between_surges_and_dives(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> list[bool]:
-    """Whether each line lies between a surge and the dive after it."""
+def window_sums(lengths: list[int], window: int) -> list[int]:
+    """Sums of each line and the `window` - 1 after it."""
     n = len(lengths)
     total = 0
     sums = [0] * n
     for i in range(n - 1, -1, -1):
         total += lengths[i] - (lengths[i + window] if i + window < n else 0)
         sums[i] = total
+    return sums
+
+
+def between_surges_and_dives(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> list[bool]:
+    """Whether each line lies between a surge and the dive after it."""
+    n = len(lengths)
+    sums = window_sums(lengths, window)
     level = min(surge, max(sums, default=0))
     kept, inside = [False] * n, False
     for i in range(n):
@@ -203,15 +213,18 @@ def between_surges_and_dives(lengths: list[int], window: int = WINDOW, surge: in
 
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     lines = page_lines(page)
-    if any(line.main for line in lines):
-        lines, surge = [line for line in lines if line.main], 1
-        lengths = [len(line.text) for line in lines]
-    else:
-        lengths = [0 if line.linked > LINK_SHARE * len(line.text) else len(line.text) for line in lines]
-    kept = between_surges_and_dives(lengths, window, surge)
+    lengths = [0 if line.linked > LINK_SHARE * len(line.text) else len(line.text) * (MAIN_WEIGHT if line.main else 1) for line in lines]
+    edges = [i for i in range(1, len(lines)) if lines[i].main != lines[i - 1].main]
+    parts = [slice(*ends) for ends in zip([0, *edges], [*edges, len(lines)], strict=True)]
+    highest = [max(window_sums(lengths[part], window), default=0) for part in parts]
+    kept: list[bool] = []
+    for part, high in zip(parts, highest, strict=True):
+        own = lengths[part]
+        surges = high >= min(surge, max(highest)) or lines and lines[part.start].main
+        kept += between_surges_and_dives(own, window, surge) if surges else [False] * len(own)
     for i in range(len(lines) - 2, -1, -1):  # headings right above a surge
         kept[i] = kept[i] or kept[i + 1] and lines[i].heading and lengths[i] > 0
-    return "\n\n".join(line.text for line, length, keep in zip(lines, lengths, kept, strict=True) if keep and length)
+    return "\n\n".join(line.text for line, keep in zip(lines, kept, strict=True) if keep)
 
 
 def extracted(page: Column, window: int = WINDOW, surge: int = SURGE) -> Column:
