@@ -48,6 +48,29 @@ def test_passages_need_different_contexts():
     assert b"grumble" in passages and b"zork" not in passages
 
 
+def test_cuts_cover_long_windows_and_split_no_passage():
+    text = "".join(chr(0x4E00 + i) + "é🙂a" for i in range(500))
+    for overlap in (0, 7, 90, 300):
+        cuts = [window[len(tx.HEAD) :].decode() for window in tx.windows_of(text, overlap)]  # no code point is split
+        whole = tx.GAP + text + tx.GAP
+        at = 0
+        for place, cut in enumerate(cuts):
+            start = whole.index(cut, max(0, at - overlap - 4)) if place else 0
+            assert start <= at and whole.startswith(cut, start) and len(cut.encode()) <= max(256, 2 * overlap)
+            assert not place or len(whole[start:at].encode()) >= overlap
+            at = start + len(cut)
+        assert at == len(whole)
+
+
+def test_toxic_passages_count_behind_long_runs(classifier):
+    toxic = "you stupid idiot, you moron"
+    alone = classifier.gains(toxic)
+    for run in ("漢字" * 17_000, "Zm9vYmFyMTIz" * 9_000):
+        assert max(classifier.gains(f"{run} {toxic}")) >= max(alone) > max(classifier.gains(run), default=0)
+    held = max(classifier.toxic.split(b"\0"), key=len).decode().strip()
+    assert all(max(classifier.gains("0" * n + held + "0" * 300)) > 2 for n in (0, 250, 10_000, 33_000, 100_000))
+
+
 def test_odd_rows(spark, classifier):
     docs = spark.createDataFrame([(1, None), (None, ""), (3, "you stupid idiot, you moron"), (3, "you stupid idiot, you moron")], "doc_id long, text string")
     rows = tx.score_documents(docs.withColumn("score", F.lit("own")), classifier).collect()

@@ -6,7 +6,9 @@ hardly ever has: runs of `GRAM`-letter sequences counted over distinct contexts
 that copies of one document are not evidence, kept where they are `RATIO` times as frequent in toxic text. In the
 other the same room is empty, so that distances and everything else compress alike.
 
-A text is cut into windows of `WORDS` words, each compressed with both dictionaries (after a head that both
+A text is cut into windows of `WORDS` words, and a window of more than `WINDOW_BYTES` bytes (long runs without blanks) into cuts
+of that size, which overlap by the longest passage's length so that none is split; the compressor refers to its
+dictionary only near the beginning of what it gets. Each is compressed with both dictionaries (after a head that both
 know, without which a short window would be stored as it is). The difference in length is the window's gain. The
 largest gain, the sum of gains from `least_gain` on and the number of windows are put through a logistic
 function; its weights and `least_gain` are calibrated on labelled texts that the dictionaries have not seen.
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.rows import quoted, text_or_empty, with_results
 
 WORDS = 8
+WINDOW_BYTES = 256
 GRAM = 6
 RATIO = 20.0
 BASE_BYTES, TOXIC_BYTES = 24_000, 6_000
@@ -45,9 +48,25 @@ GAP = "  "
 MARKS = ".,!?;:\"'()[]{}#*$%&|<>"
 
 
-def windows_of(text: str) -> list[bytes]:
+def cuts_of(window: bytes, overlap: int) -> Iterator[bytes]:
+    """`window` in cuts of about `WINDOW_BYTES` bytes (two overlaps at least), between code points."""
+    size = max(WINDOW_BYTES, 2 * overlap)
+    start = 0
+    while len(window) - start > size:
+        end = start + size
+        while window[end] & 0xC0 == 0x80:
+            end -= 1
+        yield window[start:end]
+        start = end - overlap
+        while window[start] & 0xC0 == 0x80:
+            start -= 1
+    yield window[start:]
+
+
+def windows_of(text: str, overlap: int = 0) -> list[bytes]:
     words = text.lower().split()
-    return [HEAD + (GAP + GAP.join(words[i : i + WORDS]) + GAP).encode() for i in range(0, len(words), WORDS)]
+    whole = ((GAP + GAP.join(words[i : i + WORDS]) + GAP).encode() for i in range(0, len(words), WORDS))
+    return [HEAD + cut for window in whole for cut in ((window,) if len(window) <= WINDOW_BYTES else cuts_of(window, overlap))]
 
 
 def contexts(texts: list[str]) -> set[tuple[str, str]]:
@@ -118,9 +137,14 @@ class Classifier:
     def compressors(self) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
         return self.compressor(bytes(len(self.toxic))), self.compressor(self.toxic)
 
+    @cached_property
+    def longest(self) -> int:
+        """Bytes of the longest passage."""
+        return max(map(len, self.toxic.split(b"\0")))
+
     def gains(self, text: str) -> list[int]:
         plain, toxic = (one.compress for one in self.compressors)
-        return [len(plain(window)) - len(toxic(window)) for window in windows_of(text)]
+        return [len(plain(window)) - len(toxic(window)) for window in windows_of(text, self.longest)]
 
     def features(self, gains: list[int], least: int) -> tuple[float, float, float, float]:
         return 1.0, float(max(gains, default=0)), float(np.log1p(sum(gain for gain in gains if gain >= least))), float(np.log1p(len(gains)))
