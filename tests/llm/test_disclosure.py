@@ -83,6 +83,21 @@ def test_disclosing_terms_equal_brute_force(spark):
     assert ("email:z@corp.example", "zorba") in got and not any(term == "qwerty" for _, term in got)
 
 
+def test_words_with_combining_marks_are_counted_whole(spark):
+    common, telling = "हिन्दी", "cafe\u0301"
+    rows = [(i, f"{common} शब्द{i} ΑΣ'Α ΟΔΟΣ number{i}") for i in range(60)]
+    rows += [(100 + i, f"x{i} {common} {telling} ΑΣ'Α y{i} w@corp.example ΟΔΟΣ end{i}") for i in range(6)]
+    rows += [(200 + i, f"x{i} {common}v@corp.example z{i}") for i in range(6)]  # the word runs into the entity
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in dc.disclosures(docs, dc.scan(docs)).collect()}
+    assert got == {("email:w@corp.example", telling): 1.0}
+    for _, text in rows:
+        near = {word for _, start, end in dc.base_spans(text) for word, _, _ in dc.surroundings(text, start, end)}
+        assert near <= dc.words_of(text)
+    kept = {r["doc_id"]: r["text"] for r in dc.sanitise(docs).collect()}
+    assert all(common in text for text in kept.values()) and telling not in kept[100]
+
+
 def test_texts_are_rewritten(spark):
     docs = spark.createDataFrame(corpus(), "doc_id long, text string").withColumn("terms", F.lit("own"))
     rows = {r["doc_id"]: r["text"] for r in dc.sanitise(docs).collect()}

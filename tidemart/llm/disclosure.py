@@ -16,10 +16,13 @@ the join that brings terms back, and get equal spans. Positions count code point
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ _name_end = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _numbers = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _card = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_word = re.compile(r"\w+")
+_word = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
 _name_letters = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -103,13 +106,22 @@ def entity_of(kind: str, value: str) -> str:
 
 
 def surroundings(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
-    """The words on either side of a span, lower case, with their places."""
+    """The words on either side of a span, lower case, with their places; whole words only, as `words_of` has them."""
     low, high = max(0, start - REACH), min(len(text), end + REACH)
     before = [(m.group().lower(), m.start(), m.end()) for m in _word.finditer(text, low, start) if m.start() > low or not low]
     after = [(m.group().lower(), m.start(), m.end()) for m in _word.finditer(text, end, high) if m.end() < high or high == len(text)]
+    if before and before[-1][2] == start and _word.match(text, start):
+        before.pop()
+    if after and after[0][1] == end and _word.match(text, end - 1):
+        after.pop(0)
     return before[-WINDOW:] + after[:WINDOW]
 
 
+def words_of(text: str) -> set[str]:
+    """Distinct lower-case words of a text."""
+    return {word.lower() for word in set(_word.findall(text))}
+
+
 def scanned(text: Column) -> Column:
     """Struct of the base spans, and of each entity's surrounding words outside all base spans."""
 
@@ -132,9 +144,15 @@ def scanned(text: Column) -> Column:
     return found(text)
 
 
-def words_of(text: Column) -> Column:
-    """Distinct lower-case words of a text."""
-    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}_]+"))
+def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(term, n): how many texts hold a term, summed by Arrow batch."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = Counter(term for one in batch.column(0) for term in words_of(one.as_py()))
+            yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+
+    return docs.select(text_or_empty(text).alias("text")).mapInArrow(counted, "term string, n long")
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,13 +172,12 @@ def disclosures(docs: DataFrame, found: DataFrame, text: str = "text", support:
     surrounded = once.groupBy("entity", "term", "around").agg(F.count(F.lit(1)).alias("n"))
     pairs = surrounded.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("n_around")).filter(F.col("n_around") >= support)
     pairs = materialize(pairs.join(with_entity, "entity"), "pairs")
-    terms = docs.select(F.explode(words_of(text_or_empty(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    counted = pairs.join(terms.join(pairs.select("term").distinct(), "term"), "term", "left")
+    terms = term_counts(docs, text).groupBy("term").agg(F.sum("n").alias("n_term"))
+    counted = pairs.join(terms, "term")  # a word near an entity is one of its text's words
     total = F.lit(float(max(1, found.count())))
     log2 = F.log2
-    n_term = F.greatest(F.coalesce("n_term", "n_pair"), F.col("n_pair"))
     information = log2(total / F.col("n_entity"))
-    mutual = log2(F.col("n_pair") * total / (n_term * F.col("n_entity")))
+    mutual = log2(F.col("n_pair") * total / (F.col("n_term") * F.col("n_entity")))
     share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
     return counted.select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= generalise)
 
