@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemart.llm import files, token_files, vocab
 
@@ -29,6 +30,18 @@ def test_given_texts_give_the_library_s_ids(encoder, spark):
         assert encoder.ids(row["text"]).tobytes() == encoder.whole(row["text"])
 
 
+def test_added_tokens_have_the_library_s_ids(encoder, spark, folder):
+    path = vocab.vocabulary_path(vocab.BYTE_BPE)
+    fresh = Tokenizer.from_file(path)
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "word<|endoftext|>word", "a <|endoftext b|>"]
+    expected = {text: fresh.encode(text, add_special_tokens=False).ids for text in texts}
+    assert 50256 in expected["a <|endoftext|> b"]
+    assert {text: encoder.ids(text).tolist() for text in texts} == expected
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = token_files.read_token_files(spark, token_files.write_token_files(docs, folder)).collect()
+    assert {r["doc_id"]: list(r["ids"]) for r in rows} == {i: [*expected[text], 2] for i, text in enumerate(texts)}
+
+
 def test_full_caches_give_the_same(encoder):
     small = vocab.ByteEncoder(vocab.vocabulary_path(vocab.BYTE_BPE))
     small.words.words = small.parts.words = 3

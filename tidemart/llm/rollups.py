@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,12 +32,12 @@ SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 
 
 def token_count(text: Column, vocabulary: str | None = None) -> Column:
-    """Tokens of a whole text by a rank vocabulary; null texts have none."""
+    """Tokens of a whole text by a rank vocabulary, its added token as one; null texts have none."""
     path = vocabulary or vocab.vocabulary_path(vocab.BYTE_BPE_RANKS)
 
     @F.pandas_udf("long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = vocab.rank_encoder(path).encode_ordinary
+        encode = partial(vocab.rank_encoder(path).encode, allowed_special="all")
         for texts in batches:
             yield pd.Series([len(encode(text)) for text in texts], dtype="int64")
 

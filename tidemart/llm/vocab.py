@@ -16,6 +16,8 @@ BYTE_BPE = "byte_bpe_50k.json"
 BYTE_BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
 
+#: The added token of the byte vocabulary; its id follows those of the ranks.
+END_OF_TEXT = "<|endoftext|>"
 #: Stands before the first word of a text; a text that holds it is not cut into words.
 START = "\x01"
 #: White space that is neither a blank nor a line feed, and two of these in a row.
@@ -67,7 +69,8 @@ class ByteEncoder:
 
     The vocabulary splits a text before it merges, and a single blank or line feed between two other
     characters always starts a new part. Texts whose gaps are all of that kind are cut there, and each
-    distinct part goes through the library's model once; any other text goes through the library whole.
+    distinct part goes through the library's model once; any other text goes through the library whole,
+    and so does a text that spells an added token (such as the end of a text), which has an id of its own.
     """
 
     def __init__(self, path: str):
@@ -76,9 +79,9 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.model = self.library.model
         self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.added = [token.content for token in self.library.get_added_tokens_decoder().values()]
         self.characters = byte_characters()
         self.blank = self.characters[32]
         self.parts = WordCache(self.part)
@@ -105,7 +108,7 @@ class ByteEncoder:
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of one text as little-endian unsigned integers of 32 bits."""
-        if not text or text[0] in " \n" or text[-1] in " \n" or OTHER_BLANK(text) or any(pair in text for pair in PAIRS):
+        if not text or text[0] in " \n" or text[-1] in " \n" or OTHER_BLANK(text) or any(some in text for some in (*PAIRS, *self.added)):
             return np.frombuffer(self.whole(text), "<u4")
         return np.frombuffer(b"".join(map(self.words.__getitem__, (START + text.replace("\n", " \n")).split(" "))), "<u4")
 
@@ -123,7 +126,7 @@ def rank_encoder(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)})
 
 
 @lru_cache(maxsize=4)
