@@ -57,6 +57,37 @@ def test_whole_items_are_found_and_fragments_are_not(spark):
     assert clean == {key for key, _ in texts} - {key for key, _ in got}
 
 
+def test_edits_equal_the_table_of_distances():
+    rng = random.Random(5)
+    for _ in range(300):
+        part, words = rng.choices("abcd", k=rng.randint(1, 9)), rng.choices("abcd", k=rng.randint(0, 20))
+        row = list(range(len(part) + 1))
+        least = row[-1]
+        for word in words:
+            new = [0]
+            for i, own in enumerate(part):
+                new.append(min(row[i] + (own != word), row[i + 1] + 1, new[i] + 1))
+            row = new
+            least = min(least, row[-1])
+        assert dc.edits(part, words) == least
+
+
+def test_one_changed_word_hides_no_item(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    items = [(i, text, *dc.parts_of(text)) for i, text in enumerate(texts)]
+    indexes = dc.build_indexes(items)
+    changed, own = [], []
+    for i, text in enumerate(texts):
+        words = dc.words_of(text)
+        for place in range(len(words)):
+            changed.append(" ".join(["before", *words[:place], "changed", *words[place + 1 :], "after"]))
+            own.append(i)
+    retrieved = [{row[0] for row in found} for found in dc.matches(indexes, changed, dc.THRESHOLD, dc.GRAM, 0.0)]
+    verified = [{row[0] for row in found} for found in dc.matches(indexes, changed, dc.THRESHOLD, dc.GRAM, dc.OVERLAP)]
+    assert all(i in found for i, found in zip(own, retrieved, strict=True))
+    assert all(i in found for i, found in zip(own, verified, strict=True))
+
+
 def test_shards_give_the_same(spark):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

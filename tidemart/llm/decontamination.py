@@ -10,7 +10,10 @@ only if the pivot words' block maxima plus the cheap words, first at their large
 maxima, reach the threshold. Nothing at or above it is missed.
 
 A retrieved item counts when the document holds its question and its answer: of the `gram`-word sequences of
-each part, at least `overlap` are found in the text. Parts are the columns `question` and `answer` if the
+each part, at least `overlap` are found in the text. One changed word breaks up to `gram` sequences, so a part of
+fewer than `SHORT` words is also held, at (n - 1) / n, if the best passage has its n words in order but for one edit,
+and an item counts as well if the best passage has all its words in order but for one edit (from five words on); an
+item whose answer is one word is then found by its question alone. Parts are the columns `question` and `answer` if the
 items have them; else the answer is the last line, or the last sentence of a single line, and the question
 what comes before (a single sentence is both).
 
@@ -44,6 +47,7 @@ BLOCK_ITEMS = 4
 TABLE_CELLS = 1 << 22
 SHARD_BYTES = 32 << 20
 THRESHOLD, GRAM, OVERLAP = 0.6, 5, 0.6
+SHORT, WHOLE = 20, 0.8
 MATCH = "item_id long, score double, question_overlap double, answer_overlap double, first_word long"
 
 #: A word is what stands between blanks without these marks at its ends; a text's mere marks are no words.
@@ -69,12 +73,32 @@ def grams(words: list[str], n: int) -> list[tuple[str, ...]]:
     return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)] if n else []
 
 
+def edits(part: list[str], words: list[str]) -> int:
+    """Least number of words changed, put in or left out between `part` and any run of `words` (bit-parallel, linear in `words`)."""
+    places: dict[str, int] = {}
+    for place, word in enumerate(part):
+        places[word] = places.get(word, 0) | 1 << place
+    full, top = (1 << len(part)) - 1, 1 << len(part) >> 1
+    more, less, cost = full, 0, len(part)
+    least = cost
+    for word in words:
+        equal = places.get(word, 0)
+        down = equal | less
+        across = (((equal & more) + more) ^ more) | equal
+        up, low = less | full & ~(across | more), more & across
+        cost += bool(up & top) - bool(low & top)
+        least = min(least, cost)
+        up, low = up << 1 & full, low << 1 & full
+        more, less = low | full & ~(down | up), up & down
+    return least
+
+
 @dataclass
 class Index:
     """Postings of one length class: items in blocks, weights divided by the items' own scores."""
 
     stride: int
-    items: list[tuple[int, list, list]]  # id, grams of the question, grams of the answer
+    items: list[tuple[int, list, list, list, list]]  # id, grams of the question, grams of the answer, words of both
     number: dict[str, int] = field(default_factory=dict)
     best: np.ndarray = None  # largest weight of a word anywhere
     block_from: np.ndarray = None  # a word's first entry in block_of and block_best
@@ -130,7 +154,8 @@ def _index(stride: int, members: list, rarity: dict[str, float], mean: float, gr
         own = sum(raw.values())
         weights = {index.number.setdefault(word, len(index.number)): value / own for word, value in raw.items()}
         index.weights.append(weights)
-        index.items.append((key, grams(words_of(question), gram), grams(words_of(answer), gram)))
+        parts = words_of(question), words_of(answer)
+        index.items.append((key, *(grams(part, gram) for part in parts), *parts))
         for word, value in weights.items():
             cell = (word, place // BLOCK_ITEMS)
             entries[cell] = max(entries.get(cell, 0.0), value)
@@ -227,16 +252,25 @@ def matches(indexes: list[Index], texts: list[str], threshold: float, gram: int,
     for index in indexes:
         known = [np.fromiter(map(index.spelt.__getitem__, one), np.int64, len(one)) for one in raw]
         for (text, item), best in retrieve(index, [one[one != NO_WORD] for one in known], threshold).items():
-            hits.setdefault(text, []).append((*index.items[item], *best))
+            hits.setdefault(text, []).append((*index.items[item], 2 * index.stride, *best))
     out: list[list[tuple]] = [[] for _ in texts]
     for text, found in hits.items():
         words = [word for word in (one.strip(MARKS) for one in raw[text]) if word]
         there: set = set()
-        for n in {len(one) for _, question, answer, _, _ in found for one in (*question[:1], *answer[:1])}:
+        for n in {len(one) for _, question, answer, *_ in found for one in (*question[:1], *answer[:1])}:
             there.update(zip(*(words[i:] for i in range(n)), strict=False))
-        for key, question, answer, score, first in found:
+        for key, question, answer, *parts, reach, score, first in found:
             shares = [sum(one in there for one in part) / len(part) if part else 1.0 for part in (question, answer)]
-            if min(shares) >= overlap:
+            if min(shares) < overlap:
+                near = words[first : first + reach]
+                for place, part in enumerate(parts):
+                    if shares[place] < overlap and len(part) < SHORT and edits(part, near) <= 1:
+                        shares[place] = max(shares[place], 1 - 1 / len(part))
+            held = min(shares) >= overlap
+            if not held:
+                whole = parts[0] if parts[0] == parts[1] else parts[0] + parts[1]
+                held = 1 - 1 / len(whole) >= max(overlap, WHOLE) and edits(whole, near) <= 1
+            if held:
                 out[text].append((key, score, *shares, first))
         out[text].sort(key=lambda row: (row[0] is None, row[0] or 0, row))
     return out
