@@ -48,3 +48,19 @@ def mapped(uri: str, kind: np.dtype) -> np.ndarray:
     if path is None:
         return np.frombuffer(read(uri), kind)
     return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
+
+
+def read_range(uri: str, offset: int, length: int) -> bytes:
+    """`length` bytes from `offset` on; a file that ends before is an error."""
+    path = local_path(uri)
+    if path is not None:
+        with open(path, "rb", buffering=0) as stream:
+            stream.seek(offset)
+            data = b"".join(iter(lambda: stream.read(min(length - stream.tell() + offset, 1 << 24)), b""))
+    else:
+        store, inner = _store(uri)
+        with store.open_input_file(inner) as stream:
+            data = stream.read_at(length, offset)
+    if len(data) != length:
+        raise OSError(f"{uri} ends before {offset + length}")
+    return data

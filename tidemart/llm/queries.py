@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import chat, decontamination, disclosure, fertility, forest, lineblocks, replication, rollups, token_files, toxicity, vocab
+from tidemart.llm import alignment, chat, decontamination, disclosure, fertility, forest, lineblocks, replication, rollups, spelling, token_files, toxicity, vocab, warc
 from tidemart.session import materialize, new_shared_path
 
 #: The mix of the registered query and of the pipeline: shares as square roots of the sources' characters.
@@ -153,3 +154,83 @@ def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), new_shared_path(spark, "tokens"))
     return token_files.read_token_files(spark, manifest, ids=False)
+
+
+def planted_typo(key: str, word: str) -> str:
+    """One letter less in the occurrences that a hash of id and word picks."""
+    hashed = zlib.crc32(f"{key}:{word}".encode())
+    at = hashed % len(word)
+    return word if hashed % 97 else word[:at] + word[at + 1 :]
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), altered=planted_typo))
+
+
+SQL["op11_spelling_variants"] = """
+with recursive crc_table as (
+    select list(list_reduce(list_prepend(byte, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by byte) as steps
+    from unnest(range(256)) as bytes(byte)
+), runs as (
+    select coalesce(doc_id::varchar, '') as doc,
+        translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{C0}-\\x{FF}]{5,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from documents
+), hexed as (
+    select run, count(*) as n, hex(encode(doc || ':' || run)) as hexed from runs group by doc, run
+), hashed as (
+    select run, n, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(length(hexed) // 2), lambda i: ('0x' || substr(hexed, 2 * i + 1, 2))::bigint)),
+        lambda acc, byte: xor(acc >> 8, steps[(xor(acc, byte) & 255) + 1])), 4294967295::bigint) as h
+    from hexed, crc_table
+), altered as (
+    select n, case when h % 97 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word from hashed
+), words as (
+    select word, sum(n)::bigint as n from altered where length(word) >= 5 group by word having sum(n) >= 3
+), cuts as (
+    select word, n, i, substr(word, 1, i - 1) as a, substr(word, i + 1) as b from words, unnest(range(1, length(word) + 1)) as places(i)
+), near as (
+    select x.word, y.word as other, y.n as other_n from cuts x join cuts y on x.i = y.i and x.a = y.a and x.b = y.b and x.word <> y.word
+    union select x.word, y.word, y.n from cuts x join words y on x.a || x.b = y.word
+    union select y.word, x.word, x.n from cuts x join words y on x.a || x.b = y.word
+), ranked as (
+    select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by other_n desc, encode(other)) as place from near
+), formed as (
+    select w.word, w.n, coalesce(r.n_near, 0) as n_near, case when r.other_n >= 2 * w.n then r.other end as form,
+        case when r.other_n >= 2 * w.n then r.other_n end as form_n
+    from words w left join ranked r on w.word = r.word and r.place = 1
+), climbed as (
+    select word, word as root, 0 as steps from formed
+    union all select c.word, f.form, c.steps + 1 from climbed c join formed f on c.root = f.word where f.form is not null
+), last as (
+    select word, arg_max(root, steps) as root from climbed group by word
+)
+select f.word, f.form, l.root, f.n, f.n_near, f.form_n from formed f join last l on f.word = l.word
+"""
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of the archive of all pages, through its index."""
+    pages = table(spark, sf_dir, "pages")
+    index = warc.write_archive(pages, new_shared_path(spark, "warc"))
+    kind = pages.schema["page_id"].dataType
+    records = warc.read_records(index, payloads=False)
+    return records.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+SQL["op13_warc_index"] = f"""
+with rows as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), firsts as (
+    select payload_digest, min(page_id) as first, count(*) as n from rows where payload_bytes >= {warc.LEAST_BYTES} group by payload_digest
+)
+select page_id, payload_bytes, r.payload_digest, case when n > 1 and page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
+    case when n > 1 and page_id is distinct from first then first end as refers_to
+from rows r left join firsts f on r.payload_digest = f.payload_digest
+"""
