@@ -53,7 +53,7 @@ def test_stages_return_documents(spark):
 
 
 def test_every_operator_has_its_query():
-    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 11))
-    assert set(queries.SQL) == {"op1_perspective_rotation", "op7_poisson_replication"}
+    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 14))
+    assert set(queries.SQL) == {"op1_perspective_rotation", "op7_poisson_replication", "op11_spelling_variants", "op13_warc_index"}
     assert (corpus_pipeline.MIX_SEED, corpus_pipeline.MIX_TEMPERATURE) == (queries.MIX_SEED, queries.MIX_TEMPERATURE)
     assert replication.PART_RATE <= 16
