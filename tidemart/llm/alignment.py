@@ -16,14 +16,13 @@ Repeated rows and ids are aligned row by row; a null id stays null; an empty tab
 
 from __future__ import annotations
 
-import base64
 import hashlib
-import os
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -38,86 +37,104 @@ from tidemart.session import materialize
 CHUNK_BYTES = 8 << 20
 #: Rows handed on at a time.
 ROWS = 2_000
-#: White space in a row beyond which a text goes through the slower library, whose pattern does not backtrack.
-LONG_BLANKS = 1_000
-
-Runs = list[tuple[int, int, int]]
-Groups = list[tuple[int, int, int, int]]
-
-
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[Runs, Groups]:
-    """One-to-one stretches (first of a, first of b, length) and irregular groups (a from, a to, b from, b to), each in order.
-
-    Both lists ascend strictly and end with the same number.
-    """
-    runs: Runs = []
-    groups: Groups = []
+#: Texts with so much white space in a row go through the slower library, whose pattern does not backtrack.
+LONG_BLANKS = re.compile(r"\s{1000}").search
+#: So many tokens are compared one by one before probes double.
+NEAR = 8
+NO_IDS = np.zeros(0, np.uint32)
+
+@dataclass(frozen=True)
+class Alignment:
+    """Rows of places: stretches (first of a, first of b, length), irregular groups (first of a, first of b), and in these the pairs
+    of tokens whose bytes overlap (a, b)."""
+
+    stretches: np.ndarray
+    groups: np.ndarray
+    crossed: np.ndarray
+
+    def starts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where the groups begin in a and in b, in order; each pair of tokens of a stretch is a group."""
+        first, second = self._one_to_one()
+        # both ascend from group to group, so each is in order by itself
+        return np.sort(np.concatenate([first, self.groups[:, 0]])), np.sort(np.concatenate([second, self.groups[:, 1]]))
+
+    def overlaps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the tokens of a and b whose bytes overlap, one entry for each pair of occurrences."""
+        first, second = self._one_to_one()
+        return np.concatenate([first, self.crossed[:, 0]]), np.concatenate([second, self.crossed[:, 1]])
+
+    def _one_to_one(self) -> tuple[np.ndarray, np.ndarray]:
+        lengths = self.stretches[:, 2]
+        within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        return np.repeat(self.stretches[:, 0], lengths) + within, np.repeat(self.stretches[:, 1], lengths) + within
+
+
+def align(ends_a: list[int], ends_b: list[int]) -> Alignment:
+    """Groups between common ends; both lists ascend strictly and end with the same number."""
+    stretches: list[int] = []
+    groups: list[int] = []
+    crossed: list[int] = []
     i = j = 0
     size_a = len(ends_a)
     while i < size_a:
         x, y = ends_a[i], ends_b[j]
         if x == y:
-            length, step = 1, 1
-            while True:  # the stretch doubles while both slices are equal
-                ahead = ends_a[i + length : i + length + step]
-                if not ahead or ahead != ends_b[j + length : j + length + step]:
-                    break
-                length += len(ahead)
-                step *= 2
-            while step > 1:  # and halves down to the first difference
-                step //= 2
-                ahead = ends_a[i + length : i + length + step]
-                if ahead and ahead == ends_b[j + length : j + length + step]:
-                    length += len(ahead)
-            runs.append((i, j, length))
-            i += length
-            j += length
+            at, shift = i + 1, j - i
+            near = min(i + NEAR, size_a)
+            while at < near and ends_a[at] == ends_b[at + shift]:
+                at += 1
+            if at == i + NEAR:
+                probe = NEAR
+                while (ahead := ends_a[at : at + probe]) and ahead == ends_b[at + shift : at + shift + probe]:
+                    at += len(ahead)  # the stretch doubles while both slices are equal
+                    probe *= 2
+                while probe > 1:  # and halves down to the first difference
+                    probe //= 2
+                    ahead = ends_a[at : at + probe]
+                    if ahead and ahead == ends_b[at + shift : at + shift + probe]:
+                        at += len(ahead)
+            stretches += (i, j, at - i)
+            i, j = at, at + shift
             continue
-        p, q = i + 1, j + 1
-        while x != y:
+        groups += (i, j)
+        crossed += (i, j)
+        while x != y:  # whichever token ends first is passed
             if x < y:
-                x = ends_a[p]
-                p += 1
+                i += 1
+                x = ends_a[i]
             else:
-                y = ends_b[q]
-                q += 1
-        groups.append((i, p, j, q))
-        i, j = p, q
-    return runs, groups
-
-
-def overlaps(ends_a: list[int], ends_b: list[int], runs: Runs, groups: Groups) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the tokens of a and b whose bytes overlap, one entry for each pair of occurrences."""
-    first: list[int] = []
-    second: list[int] = []
-    for p, to, q, _ in groups:
-        first.append(p)
-        second.append(q)
-        while p + 1 < to or ends_a[p] != ends_b[q]:  # a step passes whichever token ends first
-            x, y = ends_a[p], ends_b[q]
-            if x <= y:
-                p += 1
-            if y <= x:
-                q += 1
-            first.append(p)
-            second.append(q)
-    if not runs:
-        return np.array(first, np.int64), np.array(second, np.int64)
-    starts_a, starts_b, lengths = np.array(runs, np.int64).T
-    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return (
-        np.concatenate([np.array(first, np.int64), np.repeat(starts_a, lengths) + within]),
-        np.concatenate([np.array(second, np.int64), np.repeat(starts_b, lengths) + within]),
-    )
-
-
-def spelt_groups(a: list[str], b: list[str], runs: Runs, groups: Groups) -> str:
-    """The groups in order as `a1,a2|b1;a3|b2,b3`, from the ids as texts."""
-    parts: list[tuple[int, str]] = [(p, ",".join(a[p:to]) + "|" + ",".join(b[q:upto])) for p, to, q, upto in groups]
-    for i, j, length in runs:
-        parts.append((i, a[i] + "|" + b[j] if length == 1 else ";".join(map("|".join, zip(a[i : i + length], b[j : j + length], strict=True)))))
-    parts.sort()
-    return ";".join([part for _, part in parts])
+                j += 1
+                y = ends_b[j]
+            crossed += (i, j)
+        i += 1
+        j += 1
+    return Alignment(*(np.array(one, np.int64).reshape(-1, width) for one, width in ((stretches, 3), (groups, 2), (crossed, 2))))
+
+
+def number_table(size: int) -> np.ndarray:
+    """The decimal digits of the numbers below `size` (ten million at most), right in the first seven of eight bytes."""
+    digits = np.array([f"{number:>7}\0" for number in range(size)], "S8").view(np.uint8).reshape(size, -1) if size else np.zeros((0, 8), np.uint8)
+    padded = np.zeros((size, 8), np.uint8)
+    padded[:, : digits.shape[1]] = np.where(digits == ord(" "), 0, digits)
+    return padded.view("<u8").ravel()
+
+
+def spelt_groups(a: np.ndarray, b: np.ndarray, from_a: np.ndarray, from_b: np.ndarray, numbers: np.ndarray) -> bytes:
+    """The groups that begin at these places in order as `a1,a2|b1;a3|b2,b3`; `numbers` is a `number_table` that both ids are in.
+
+    A token's place in the output follows from the tokens of both sides before it; the mark behind it is the eighth byte.
+    """
+    sizes_a, sizes_b = np.diff(from_a, append=len(a)), np.diff(from_b, append=len(b))
+    place_a = np.arange(len(a)) + np.repeat(from_b, sizes_a)
+    place_b = np.arange(len(b)) + np.repeat(from_a + sizes_a, sizes_b)
+    marks_a, marks_b = np.full(len(a), ord(","), "<u8"), np.full(len(b), ord(","), "<u8")
+    marks_a[from_a + sizes_a - 1] = ord("|")
+    marks_b[from_b + sizes_b - 1] = ord(";")
+    out = np.empty(len(a) + len(b), "<u8")
+    out[place_a] = numbers[a] | (marks_a << np.uint64(56))
+    out[place_b] = numbers[b] | (marks_b << np.uint64(56))
+    spelt = out.view(np.uint8)
+    return spelt[spelt != 0].tobytes()[:-1]
 
 
 class Pair:
@@ -142,7 +159,7 @@ class Pair:
         ]
         self.sizes_a = np.array([len(one) for one in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(one) for one in self.bytes_b], np.int64)
-        self.names = [str(number) for number in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.numbers = number_table(max(len(self.bytes_a), len(self.bytes_b)))
         self.agreed: set[str] = set(map(chr, range(128)))
         self.differing: set[str] = set()
 
@@ -157,23 +174,21 @@ class Pair:
             (self.agreed if same else self.differing).add(character)
         return self.differing.isdisjoint(seen)
 
-    def ids_a(self, spaced: str) -> list[int]:
-        if self._agrees(spaced) and " " * LONG_BLANKS not in spaced and "\n" * LONG_BLANKS not in spaced:
-            return self.ranked.encode_ordinary(spaced)
-        return self.library.encode(spaced, add_special_tokens=False).ids
+    def ids_a(self, spaced: str) -> np.ndarray:
+        if self._agrees(spaced) and not LONG_BLANKS(spaced):
+            return self.ranked.encode_to_numpy(spaced, disallowed_special=())
+        return np.array(self.library.encode(spaced, add_special_tokens=False).ids, np.uint32)
 
-    def ids(self, text: str) -> tuple[list[int], list[int]]:
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both for the text with a space before it, or none where one's tokens do not spell it."""
-        if not text:
-            return [], []
         raw = (" " + text).encode()
-        a = self.ids_a(" " + text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw:
-            return [], []
-        b = self.pieces.encode(text)
+        b = self.pieces.encode(text) if text else []
         if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+            return NO_IDS, NO_IDS
+        a = self.ids_a(" " + text)
+        if int(self.sizes_a[a].sum()) != len(raw):  # byte-level tokens spell any text, so their length tells
+            return NO_IDS, NO_IDS
+        return a, np.array(b, np.uint32)
 
 
 @lru_cache(maxsize=1)
@@ -201,20 +216,19 @@ class Chunk:
     def add(self, key, text: str, pair: Pair, spelt: bool) -> None:
         a, b = pair.ids(text)
         self.bytes += len(text)
-        if not a:
+        if not len(a):
             self.rows.append((key, 0, 0, 0, 0, "", ""))
             self.pairs.append(np.zeros(0, np.int64))
             self.links.append(np.zeros(0, np.int64))
             return
-        array_a, array_b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = np.cumsum(pair.sizes_a[array_a]).tolist(), np.cumsum(pair.sizes_b[array_b]).tolist()
-        runs, groups = align(ends_a, ends_b)
-        first, second = overlaps(ends_a, ends_b, runs, groups)
-        text_of = spelt_groups([pair.names[one] for one in a], [pair.names[one] for one in b], runs, groups)
-        n_groups = len(groups) + sum(length for _, _, length in runs)
-        digest = hashlib.sha256(text_of.encode()).hexdigest()
-        self.rows.append((key, len(a), len(b), n_groups, len(first), digest, text_of if spelt else ""))
-        held, counts = np.unique(array_a[first] << 32 | array_b[second], return_counts=True)
+        ends_a, ends_b = np.cumsum(pair.sizes_a[a]).tolist(), np.cumsum(pair.sizes_b[b]).tolist()
+        aligned = align(ends_a, ends_b)
+        first, second = aligned.overlaps()
+        starts = aligned.starts()
+        written = spelt_groups(a, b, *starts, pair.numbers)
+        digest = hashlib.sha256(written).hexdigest()
+        self.rows.append((key, len(a), len(b), len(starts[0]), len(first), digest, written.decode() if spelt else ""))
+        held, counts = np.unique((a[first].astype(np.int64) << 32) | b[second], return_counts=True)
         self.pairs.append(held)
         self.links.append(counts)
 
