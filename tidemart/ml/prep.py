@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemart.operators import cells
 from tidemart.operators.order import hash_order, head_per_group, quantiles, running_index
 from tidemart.operators.tabular import select_features  # noqa: F401
-from tidemart.operators.vectors import knn_join
 from tidemart.session import materialize
 
 HASH = "__hash"
@@ -183,7 +183,8 @@ def smote(df: DataFrame, key: str, target: str, features: Sequence[str], k: int
 
 def _own_neighbours(own: DataFrame, k: int) -> DataFrame:
     """(id, near): the k nearest points of each point."""
-    pairs = knn_join(own.select(F.col("id").alias("q"), "point"), own, k, "q", "id", "point", exclude_self=True)
+    index = cells.build_index(own, corpus_id="id", vector="point")
+    pairs = cells.search(index, own.select(F.col("id").alias("q"), "point"), k, "q", "id", "point", exact=True, exclude_self=True)
     with_points = pairs.join(own.select("id", "point"), "id")
     ordered = F.array_sort(F.collect_list(F.struct("rank", "point")))
     return with_points.groupBy(F.col("q").alias("id")).agg(F.transform(ordered, lambda x: x["point"]).alias("near"))
