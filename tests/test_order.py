@@ -91,3 +91,53 @@ def test_returns_against_pandas(spark):
     assert vol[:4] == [None] * 4 and vol[4] == pytest.approx(np.std([-1.0, 0.5, -2.0], ddof=1))
     flat = spark.createDataFrame([("s", i, 0.1) for i in range(4)], "k string, t int, r double")
     assert series.sharpe_ratio(flat, ["k"], "r").first()["sharpe_ratio"] is None
+
+
+@pytest.mark.parametrize("size,slack,rows", [(16, 0.05, 10**9), (16, 0.0, 10**9), (16, 0.02, 0), (1 << 14, 0.0025, 10**9)])
+def test_bracketed_quantiles(spark, monkeypatch, size, slack, rows):
+    """Brackets that hold few values, brackets that miss, values summed by segments, groups that are kept whole."""
+    monkeypatch.setattr(order, "SKETCH_SIZE", size)
+    monkeypatch.setattr(order, "SKETCH_SLACK", slack)
+    monkeypatch.setattr(order, "INSIDE_ROWS", rows)
+    draw = np.random.default_rng(9)
+    values = {"ties": draw.integers(0, 4, 900), "wide": draw.normal(0, 1e6, 900), "one": [7.0], "two": [1.0, 2.0], "same": [3.0] * 500, "inf": [-np.inf, 0.0, np.inf] * 60, None: draw.random(40)}
+    data = [(k, float(v)) for k, own in values.items() for v in own] + [("ties", None), ("wide", float("nan")), ("empty", None)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(7)
+    probs = {"zero": 0.0, "low": 0.01, "q1": 0.25, "near": 0.251, "m": 0.5, "high": 0.987, "top": 1.0}
+    got = {row["k"]: row for row in order.quantiles(df, ["k"], "v", probs).collect()}
+    assert set(got) == set(values)
+    for k, own in values.items():
+        for name, p in probs.items():
+            place = (len(own) - 1) * p
+            low, high = np.sort(own)[[int(np.floor(place)), int(np.ceil(place))]]
+            want = low if low == high else low + (high - low) * (place - np.floor(place))
+            assert np.isclose(got[k][name], want, rtol=1e-12, equal_nan=True), (k, name)
+    every = np.sort(values["wide"])
+    row = order.quantiles(df.filter("k = 'wide'"), [], "v", probs).first()
+    assert row["m"] == pytest.approx((every[449] + every[450]) / 2) and row["zero"] == every[0] and row["top"] == every[-1]
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 0])
+def test_first_rows_by_hash(spark, monkeypatch, rows):
+    """Against a rank over all rows, with cuts found in one histogram and with further digits."""
+    monkeypatch.setattr(order, "CUT_ROWS", rows)
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.lit("big")).when(F.col("id") % 30 == 0, F.lit("small")).alias("k")).repartition(5)
+    wants = spark.createDataFrame([("big", 700), (None, 5000), ("small", 0), ("absent", 3)], "k string, __want long")
+    full = W.partitionBy("k").orderBy(order.hash_order("id", 5), "id")
+    placed = df.withColumn("place", F.row_number().over(full))
+    want = {r["id"] for r in placed.filter("(k = 'big' and place <= 700) or k is null").collect()}
+    flagged = order.first_by_hash(df, ["k"], "id", wants, 5)
+    assert flagged.count() == 3000 and {r["id"] for r in flagged.filter("__first").collect()} == want
+    assert {(r["id"], r["i"]) for r in order.hash_index(df, ["k"], "id", 5, "i").collect()} == {(r["id"], r["place"]) for r in placed.collect()}
+    for n in (0, 1, 1234, 3000, 4000):
+        alone = order.first_by_hash(df, [], "id", spark.createDataFrame([(n,)], "__want long"), 5)
+        ranked = df.withColumn("place", F.row_number().over(W.partitionBy().orderBy(order.hash_order("id", 5), "id"))).filter(F.col("place") <= n)
+        assert {r["id"] for r in alone.filter("__first").collect()} == {r["id"] for r in ranked.collect()}
+
+
+def test_repeated_and_null_keys_do_not_change_the_number_of_rows(spark):
+    df = spark.createDataFrame([(1,)] * 10 + [(None,)] * 10 + [(k,) for k in range(2, 30)], "id long")
+    for n in range(0, 49, 6):
+        assert order.first_by_hash(df, [], "id", spark.createDataFrame([(n,)], "__want long")).filter("__first").count() == n
+    assert order.first_by_hash(df.limit(0), [], "id", spark.createDataFrame([(3,)], "__want long")).count() == 0
+    assert sorted(r["i"] for r in order.hash_index(df, [], "id", 1, "i").collect()) == list(range(1, 49))

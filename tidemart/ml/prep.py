@@ -11,12 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.operators import cells
-from tidemart.operators.order import hash_order, head_per_group, quantiles, running_index
+from tidemart.operators.order import first_by_hash, hash_index, head_per_group, quantiles
 from tidemart.operators.tabular import select_features  # noqa: F401
 from tidemart.session import materialize
 
-HASH = "__hash"
-
 
 class FillMissing(Estimator):
     """Numeric nulls become the column's median, categorical ones its most frequent value (ties by value).
@@ -108,23 +106,19 @@ def split_train_test(
     df: DataFrame, key: str, target: str, drop: Iterable[str] = (), test_size: float = 0.2, seed: int = 42, stratify: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Exact, repeatable split by a hash of the row key; features and target stay in one frame."""
-    rows = df.drop(*drop).withColumn(HASH, hash_order(key, seed))
+    rows, test = df.drop(*drop), "__test"
     if stratify:
-        placed = running_index(rows, [target], [HASH, key], "__place")
-        sizes = test_sizes(df, target, test_size).select(F.col(target).alias("__class"), "test_rows")
-        flagged = placed.join(sizes, F.col(target).eqNullSafe(F.col("__class")))
+        wants = test_sizes(df, target, test_size).select(target, F.col("test_rows").alias("__want"))
     else:
-        placed = running_index(rows, [], [HASH, key], "__place")
-        flagged = placed.withColumn("test_rows", df.agg(F.ceil(F.round(F.count(F.lit(1)) * test_size, 9))).scalar())
-    is_test = F.col("__place") <= F.col("test_rows")
-    extra = [HASH, "__place", "test_rows", "__class"]
-    return flagged.filter(~is_test).drop(*extra), flagged.filter(is_test).drop(*extra)
+        wants = df.agg(F.ceil(F.round(F.count(F.lit(1)) * test_size, 9)).alias("__want"))
+    flagged = first_by_hash(rows, [target] if stratify else [], key, wants, seed, test)
+    return flagged.filter(~F.col(test)).drop(test), flagged.filter(test).drop(test)
 
 
 def with_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Stratified folds 0..k-1: each class dealt out in hash order."""
-    placed = running_index(df.withColumn(HASH, hash_order(key, seed)), [target], [HASH, key], "__place")
-    return placed.withColumn(out, F.pmod(F.col("__place") - 1, F.lit(k)).cast("int")).drop(HASH, "__place")
+    placed = hash_index(df, [target], key, seed, "__place")
+    return placed.withColumn(out, F.pmod(F.col("__place") - 1, F.lit(k)).cast("int")).drop("__place")
 
 
 def with_class_weights(df: DataFrame, target: str, out: str = "class_weight") -> DataFrame:
@@ -137,9 +131,9 @@ def with_class_weights(df: DataFrame, target: str, out: str = "class_weight") ->
 
 def undersample(df: DataFrame, key: str, target: str, seed: int = 42) -> DataFrame:
     """Every class cut to the smallest class, at random but repeatably."""
-    smallest = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).scalar()
-    placed = running_index(df.withColumn(HASH, hash_order(key, seed)), [target], [HASH, key], "__place")
-    return placed.filter(F.col("__place") <= smallest).drop(HASH, "__place")
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    wants = counts.select(target, counts.agg(F.min("n")).scalar().alias("__want"))
+    return first_by_hash(df, [target], key, wants, seed).filter("__first").drop("__first")
 
 
 def _unit(*parts) -> Column:
@@ -164,7 +158,7 @@ def smote(df: DataFrame, key: str, target: str, features: Sequence[str], k: int
             continue
         own = rows.filter(F.col(target).eqNullSafe(F.lit(label)))
         near = _own_neighbours(own, min(k, n - 1))
-        placed = running_index(own.withColumn(HASH, hash_order("id", seed)), [], [HASH, "id"], "__place")
+        placed = hash_index(own, [], "id", seed, "__place")
         each, extra = divmod(need, n)
         copies = F.lit(each) + F.when(F.col("__place") <= extra, 1).otherwise(0)
         bases = placed.withColumn("__copies", copies).filter("__copies > 0")
