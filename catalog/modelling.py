@@ -5,13 +5,15 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
-from tidemart.ml import evaluate, explain, models, prep, tracking
+from tidemart.ml import evaluate, explain, models, prep, shapley, tracking
+from tidemart.session import spread
 
 # Predictions made by length rules, as three "models"; their label is a document's quality.
 
@@ -217,6 +219,43 @@ def linear_drivers(spark, sf):
     return explain.linear_attribution(model, lines, lines).withColumn("mean_abs_shap", F.round("mean_abs_shap", 3))
 
 
+ADDS_UP_SQL = "SELECT l_orderkey, l_linenumber, TRUE AS adds_up FROM lineitem"
+
+
+def _adds_up(spark, sf, estimator):
+    """Whether the Shapley values of a tree model of the lines' prices and its mean sum to the prediction."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice")
+    model = Pipeline(stages=[prep.build_preprocessor(["l_quantity", "l_discount", "l_tax"], ["l_returnflag"]), estimator]).fit(lines)
+    values = shapley.shapley_values(model, spread(lines), ["l_orderkey", "l_linenumber", "prediction"])
+    told = F.aggregate("shapley", F.col("mean"), lambda a, v: a + v)
+    return values.select("l_orderkey", "l_linenumber", (F.abs(told - F.col("prediction")) <= 1e-7 * (1 + F.abs("prediction"))).alias("adds_up"))
+
+
+@query("ML18", ADDS_UP_SQL)
+def forest_attribution_adds_up(spark, sf):
+    """Of every line: the Shapley values of a random forest and its mean sum to the forest's prediction."""
+    forest = RandomForestRegressor(labelCol="l_extendedprice", numTrees=12, maxDepth=6, featureSubsetStrategy="all", seed=42)
+    return _adds_up(spark, sf, forest)
+
+
+@query("ML18", ADDS_UP_SQL)
+def boosted_attribution_adds_up(spark, sf):
+    """The same for boosted trees."""
+    boosted = GBTRegressor(labelCol="l_extendedprice", maxIter=8, stepSize=0.1, maxDepth=4, seed=42)
+    return _adds_up(spark, sf, boosted)
+
+
+@query("ML18", """WITH v AS (SELECT avg(l_extendedprice) FILTER (l_quantity <= 25) AS low, avg(l_extendedprice) FILTER (l_quantity > 25) AS high,
+count(*) FILTER (l_quantity <= 25)::DOUBLE / count(*) AS share FROM lineitem)
+SELECT 'is_large' AS feature, round(2 * share * (1 - share) * (high - low), 3) AS mean_abs_shap FROM v""")
+def stump_drivers(spark, sf):
+    """One split has a closed form: the values are the distances of the two leaves from the mean."""
+    lines = table(spark, sf, "lineitem").select((F.col("l_quantity") > 25).cast("double").alias("is_large"), "l_extendedprice")
+    tree = DecisionTreeRegressor(labelCol="l_extendedprice", maxDepth=1, seed=42)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["is_large"], outputCol="features"), tree]).fit(lines)
+    return explain.attribution(model, lines, lines).withColumn("mean_abs_shap", F.round("mean_abs_shap", 3))
+
+
 NUMERIC, CATEGORICAL = ["n_chars", "n_words", "shouts"], ["lang", "source"]
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.ml.evaluate import with_score
+from tidemart.ml.shapley import mean_magnitudes
 from tidemart.operators.features import rfm
 from tidemart.operators.order import null_safe_join
 
@@ -42,14 +43,26 @@ def linear_attribution(model: PipelineModel, train: DataFrame, rows: DataFrame,
     """
     estimator, prepare = model.stages[-1], PipelineModel(model.stages[:-1])
     encoded = prepare.transform(rows)
-    means = prepare.transform(train).agg(vector_to_array(Summarizer.mean(F.col("features"))).alias("m")).first()["m"]
-    facts = [(n, abs(float(w)), float(m)) for n, w, m in zip(feature_names(encoded), estimator.coefficients.toArray(), means)]
-    table = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(w).alias("w"), F.lit(m).alias("m")) for n, w, m in facts])
-    values = encoded.select(F.inline(F.arrays_zip(table.alias("fact"), vector_to_array("features").alias("x"))).alias("fact", "x"))
-    per = values.groupBy(F.col("fact.feature").alias("feature")).agg(F.avg(F.abs(F.col("x") - F.col("fact.m")) * F.col("fact.w")).alias("mean_abs_shap"))
+    centred = StandardScaler(inputCol="features", outputCol="__centred", withMean=True, withStd=False).fit(prepare.transform(train)).transform(encoded)
+    facts = centred.agg(vector_to_array(Summarizer.normL1(F.col("__centred"))).alias("sums"), F.count(F.lit(1)).alias("n"))
+    named = [F.struct(F.lit(n).alias("feature"), F.lit(abs(float(w))).alias("w")) for n, w in zip(feature_names(encoded), estimator.coefficients.toArray())]
+    values = facts.select("n", F.inline(F.arrays_zip(F.array(*named).alias("fact"), F.col("sums"))).alias("fact", "sum"))
+    per = values.select("fact.feature", (F.col("fact.w") * F.col("sum") / F.col("n")).alias("mean_abs_shap"))
     return per.orderBy(F.desc("mean_abs_shap"), "feature").limit(top_n)
 
 
+def tree_attribution(model: PipelineModel, rows: DataFrame, top_n: int = 10) -> DataFrame:
+    """(feature, mean_abs_shap) of a pipeline that ends in a tree, a forest or boosted trees, largest first."""
+    names = feature_names(PipelineModel(model.stages[:-1]).transform(rows.limit(0)))
+    return mean_magnitudes(model, rows, names).orderBy(F.desc("mean_abs_shap"), "feature").limit(top_n)
+
+
+def attribution(model: PipelineModel, train: DataFrame, rows: DataFrame, top_n: int = 10) -> DataFrame:
+    """(feature, mean_abs_shap) of a linear or a tree model."""
+    linear = hasattr(model.stages[-1], "coefficients")
+    return linear_attribution(model, train, rows, top_n) if linear else tree_attribution(model, rows, top_n)
+
+
 def tree_importance(model: PipelineModel, rows: DataFrame, top_n: int = 10) -> DataFrame:
     """(feature, importance) of a pipeline that ends in a tree model (impurity based)."""
     estimator, prepare = model.stages[-1], PipelineModel(model.stages[:-1])
