@@ -1,4 +1,5 @@
 import json
+import os
 import zlib
 
 import numpy as np
@@ -19,7 +20,7 @@ def encoder():
     return vocab.byte_encoder(vocab.vocabulary_path(vocab.BYTE_BPE))
 
 
-def test_cached_words_give_the_library_s_ids(encoder):
+def test_texts_give_the_library_s_ids(encoder):
     for _ in range(2):
         for text in TEXTS:
             assert encoder.ids(text).tobytes() == encoder.whole(text), text
@@ -42,11 +43,14 @@ def test_added_tokens_have_the_library_s_ids(encoder, spark, folder):
     assert {r["doc_id"]: list(r["ids"]) for r in rows} == {i: [*expected[text], 2] for i, text in enumerate(texts)}
 
 
-def test_full_caches_give_the_same(encoder):
-    small = vocab.ByteEncoder(vocab.vocabulary_path(vocab.BYTE_BPE))
-    small.words.words = small.parts.words = 3
-    for text in TEXTS * 2:
-        assert small.ids(text).tobytes() == encoder.whole(text)
+def test_without_rank_file_and_with_odd_characters(encoder, folder):
+    os.symlink(vocab.vocabulary_path(vocab.BYTE_BPE), f"{folder}/{vocab.BYTE_BPE}")
+    alone = vocab.ByteEncoder(f"{folder}/{vocab.BYTE_BPE}")
+    assert alone.ranked is None
+    other = vocab.ByteEncoder(vocab.vocabulary_path(vocab.BYTE_BPE))
+    other.differing.add("漢")
+    for text in [*TEXTS, " " * 1200 + "x\n" * 3, "漢 is odd", "\u180e\u200b\ufeff x\u0378 𖹀ᲀ"]:
+        assert alone.ids(text).tobytes() == other.ids(text).tobytes() == encoder.ids(text).tobytes() == encoder.whole(text)
 
 
 def expected(rows, encoder, end_id=2):

@@ -17,7 +17,6 @@ Repeated rows and ids are aligned row by row; a null id stays null; an empty tab
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,8 +36,6 @@ from tidemart.session import materialize
 CHUNK_BYTES = 8 << 20
 #: Rows handed on at a time.
 ROWS = 2_000
-#: Texts with so much white space in a row go through the slower library, whose pattern does not backtrack.
-LONG_BLANKS = re.compile(r"\s{1000}").search
 #: So many tokens are compared one by one before probes double.
 NEAR = 8
 NO_IDS = np.zeros(0, np.uint32)
@@ -140,15 +137,11 @@ def spelt_groups(a: np.ndarray, b: np.ndarray, from_a: np.ndarray, from_b: np.nd
 class Pair:
     """Two tokenizers in a task: ids and spellings of byte-level tokens (a) and of pieces (b) of the same text."""
 
-    def __init__(self, byte_vocabulary: str, ranks: str, pieces: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(byte_vocabulary)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.ranked = vocab.rank_encoder(ranks)
+    def __init__(self, byte_vocabulary: str, pieces: str):
+        self.bytes = vocab.byte_encoder(byte_vocabulary, plain=True)
         self.pieces = vocab.piece_encoder(pieces)
         bytes_of = {character: byte for byte, character in vocab.byte_characters().items()}
-        by_id = sorted((number, token) for token, number in self.library.get_vocab().items())
+        by_id = sorted((number, token) for token, number in self.bytes.library.get_vocab().items())
         self.bytes_a = [b""] * (by_id[-1][0] + 1)
         for number, token in by_id:
             known = all(character in bytes_of for character in token)
@@ -160,24 +153,6 @@ class Pair:
         self.sizes_a = np.array([len(one) for one in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(one) for one in self.bytes_b], np.int64)
         self.numbers = number_table(max(len(self.bytes_a), len(self.bytes_b)))
-        self.agreed: set[str] = set(map(chr, range(128)))
-        self.differing: set[str] = set()
-
-    def _agrees(self, text: str) -> bool:
-        """Whether both libraries class all characters alike; each character beyond ASCII is probed once in a task."""
-        if text.isascii():
-            return True
-        seen = set(text)
-        for character in seen - self.agreed - self.differing:
-            probe = f"a{character}1{character}{character}, {character} a"
-            same = self.ranked.encode_ordinary(probe) == self.library.encode(probe, add_special_tokens=False).ids
-            (self.agreed if same else self.differing).add(character)
-        return self.differing.isdisjoint(seen)
-
-    def ids_a(self, spaced: str) -> np.ndarray:
-        if self._agrees(spaced) and not LONG_BLANKS(spaced):
-            return self.ranked.encode_to_numpy(spaced, disallowed_special=())
-        return np.array(self.library.encode(spaced, add_special_tokens=False).ids, np.uint32)
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both for the text with a space before it, or none where one's tokens do not spell it."""
@@ -185,15 +160,15 @@ class Pair:
         b = self.pieces.encode(text) if text else []
         if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return NO_IDS, NO_IDS
-        a = self.ids_a(" " + text)
+        a = self.bytes.ids(" " + text)
         if int(self.sizes_a[a].sum()) != len(raw):  # byte-level tokens spell any text, so their length tells
             return NO_IDS, NO_IDS
         return a, np.array(b, np.uint32)
 
 
 @lru_cache(maxsize=1)
-def tokenizer_pair(byte_vocabulary: str, ranks: str, pieces: str) -> Pair:
-    return Pair(byte_vocabulary, ranks, pieces)
+def tokenizer_pair(byte_vocabulary: str, pieces: str) -> Pair:
+    return Pair(byte_vocabulary, pieces)
 
 
 def packed(*numbers: np.ndarray) -> bytes:
@@ -279,12 +254,11 @@ def aligned_chunks(
     key: str = "doc_id",
     text: str = "text",
     byte_vocabulary: str | None = None,
-    ranks: str | None = None,
     pieces: str | None = None,
     groups: bool = False,
 ) -> DataFrame:
     """Rows of documents and of chunks' pair lists, written to the shared folder: chunk numbers hold for what is read back."""
-    names = (byte_vocabulary or vocab.vocabulary_path(vocab.BYTE_BPE), ranks or vocab.vocabulary_path(vocab.BYTE_BPE_RANKS), pieces or vocab.vocabulary_path(vocab.PIECE_BPE))
+    names = (byte_vocabulary or vocab.vocabulary_path(vocab.BYTE_BPE), pieces or vocab.vocabulary_path(vocab.PIECE_BPE))
     rows = docs.select(F.col(quoted(key)).alias("key"), text_or_empty(text).alias("text"))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

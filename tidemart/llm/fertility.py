@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
@@ -125,16 +124,17 @@ class Judge:
 
     def __init__(self, bands: Bands, byte_vocabulary: str, piece_vocabulary: str, min_words: int, repeat_percent: int):
         self.bands, self.min_words, self.repeat_percent = bands, min_words, repeat_percent
-        encode = vocab.rank_encoder(byte_vocabulary).encode_ordinary
+        self.encoder = vocab.rank_encoder(byte_vocabulary)
         self.spelt = vocab.spelt_characters(piece_vocabulary)
-        parts = vocab.WordCache(lambda part: array("H", encode(part)).tobytes())
 
-        def seen(word: bytes) -> bytes:
-            if word[-1:] in MARKS and word[:-1].isalpha():  # an ASCII word and its mark are separate parts
-                return parts[" " + word[:-1].decode()] + parts[word[-1:].decode()]
-            return parts[" " + word.decode()]
-
-        self.words = vocab.WordCache(seen)
+    def ids(self, words: list[bytes], text: str) -> np.ndarray:
+        """Ids of the words, each with a blank before it. A token never goes on with a blank behind a character that is no white
+        space, so words without other white space in them may be encoded together."""
+        if not words:
+            return np.zeros(0, np.uint32)
+        if vocab.OTHER_BLANK(text) and any(vocab.OTHER_BLANK(word.decode()) for word in words):
+            return np.array([one for word in words for one in self.encoder.encode_ordinary(" " + word.decode())], np.uint32)
+        return self.encoder.encode_to_numpy((b" " + b" ".join(words)).decode(), disallowed_special=())
 
     def __call__(self, text: str, lang: str | None) -> tuple:
         raw = text.encode()
@@ -145,7 +145,7 @@ class Judge:
         failed = len(words) < self.min_words or 100 * repeated > self.repeat_percent * len(words)
         word_chars = len(text) - blanks
         script = script_of(scripts_in(text))
-        ids = np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u2")
+        ids = self.ids(words, text)
         per_token = word_chars / len(ids) if len(ids) else 0.0
         strange = sum(map(text.count, set(text) - self.spelt))
         share = strange / word_chars if word_chars else 0.0

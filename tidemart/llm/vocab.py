@@ -1,11 +1,10 @@
-"""Public vocabularies inside tasks: exact encoding of whole texts, one distinct word at a time."""
+"""Public vocabularies inside tasks: exact encoding of whole texts."""
 
 from __future__ import annotations
 
 import base64
 import os
 import re
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,13 +17,12 @@ PIECE_BPE = "piece_bpe_32k.model"
 
 #: The added token of the byte vocabulary; its id follows those of the ranks.
 END_OF_TEXT = "<|endoftext|>"
-#: Stands before the first word of a text; a text that holds it is not cut into words.
-START = "\x01"
-#: White space that is neither a blank nor a line feed, and two of these in a row.
-OTHER_BLANK = re.compile(r"[\t\r\v\f\x01\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
-PAIRS = ("  ", "\n\n", " \n", "\n ")
+#: White space that is neither a blank nor a line feed.
+OTHER_BLANK = re.compile(r"[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+#: Texts with so much white space in a row go through the slower library, whose pattern does not backtrack.
+LONG_BLANKS = re.compile(r"\s{1000}").search
 #: A generation of a cache holds this many words, so a worker's memory does not grow with the input.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 #: Longer words are encoded each time they are met.
 CACHED_CHARS = 64
 
@@ -65,57 +63,49 @@ def byte_characters() -> dict[int, str]:
 
 
 class ByteEncoder:
-    """Ids of whole texts, equal to the library's own `encode(text, add_special_tokens=False)`.
+    """Ids of whole texts, equal to the tokenizer file's own `encode(text, add_special_tokens=False)`.
 
-    The vocabulary splits a text before it merges, and a single blank or line feed between two other
-    characters always starts a new part. Texts whose gaps are all of that kind are cut there, and each
-    distinct part goes through the library's model once; any other text goes through the library whole,
-    and so does a text that spells an added token (such as the end of a text), which has an id of its own.
+    Texts go through the rank file beside the tokenizer file, which has the same vocabulary and pattern and a faster library. The two libraries could
+    class a character differently, so each one beyond ASCII is probed once in a task; a text with a character that differs, with very
+    long white space, or that spells an added token (unless `plain`, when these are ordinary text) goes through the tokenizer file, as do all
+    where there is no rank file. No words are remembered, so memory does not grow with the input.
     """
 
-    def __init__(self, path: str):
-        import public_tokenizers
-        import regex
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.added = [token.content for token in self.library.get_added_tokens_decoder().values()]
-        self.characters = byte_characters()
-        self.blank = self.characters[32]
-        self.parts = WordCache(self.part)
-        self.words = WordCache(self.word)
+        self.library.encode_special_tokens = plain
+        ranks = os.path.splitext(path)[0] + ".tiktoken"
+        self.ranked = rank_encoder(ranks) if os.path.exists(ranks) else None
+        self.added = [] if plain else [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.agreed: set[str] = set(map(chr, range(128)))
+        self.differing: set[str] = set()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def part(self, part: str) -> bytes:
-        if part.isascii() and part[1:].isalnum():
-            seen = self.blank + part[1:] if part[0] == " " else part
-        else:
-            seen = part.encode().decode("latin-1").translate(self.characters)
-        return array("I", [token.id for token in self.model.tokenize(seen)]).tobytes()
-
-    def word(self, word: str) -> bytes:
-        """A word with the blank before it, or as it is after a line feed or a leading mark."""
-        if word.isalpha():
-            return self.parts[" " + word]
-        if word[-1] in ".,!?;:" and word[:-1].isalpha():
-            return self.parts[" " + word[:-1]] + self.parts[word[-1]]
-        spelt = word if word[0] == "\n" else word[1:] if word[0] == START else " " + word
-        return b"".join(map(self.parts.__getitem__, self.split(spelt)))
+    def _agrees(self, text: str) -> bool:
+        """Whether both libraries class all characters alike."""
+        if text.isascii():
+            return True
+        seen = set(text)
+        for character in seen - self.agreed - self.differing:
+            probe = f"a{character}1{character}{character}, {character} a"
+            same = self.ranked.encode_ordinary(probe) == self.library.encode(probe, add_special_tokens=False).ids
+            (self.agreed if same else self.differing).add(character)
+        return self.differing.isdisjoint(seen)
 
     def ids(self, text: str) -> np.ndarray:
-        """Ids of one text as little-endian unsigned integers of 32 bits."""
-        if not text or text[0] in " \n" or text[-1] in " \n" or OTHER_BLANK(text) or any(some in text for some in (*PAIRS, *self.added)):
+        """Ids of one text as unsigned integers of 32 bits."""
+        if self.ranked is None or any(some in text for some in self.added) or LONG_BLANKS(text) or not self._agrees(text):
             return np.frombuffer(self.whole(text), "<u4")
-        return np.frombuffer(b"".join(map(self.words.__getitem__, (START + text.replace("\n", " \n")).split(" "))), "<u4")
+        return self.ranked.encode_to_numpy(text, disallowed_special=())
 
 
 @lru_cache(maxsize=4)
-def byte_encoder(path: str) -> ByteEncoder:
-    return ByteEncoder(path)
+def byte_encoder(path: str, plain: bool = False) -> ByteEncoder:
+    return ByteEncoder(path, plain)
 
 
 @lru_cache(maxsize=4)
