@@ -178,3 +178,12 @@ def test_ngram_lists(spark):
     got = [r[0] for r in df.select(terms.ngrams(F.col("x"), 1, 3)).collect()]
     assert got[0] == ["a", "b", "c", "a b", "b c", "a b c"] and got[1] == []
     assert list(itertools.chain(*[r[0] for r in df.select(terms.ngrams(F.col("x"), 2, 2)).collect()])) == ["a b", "b c"]
+
+
+@pytest.mark.parametrize("method", [None, "no such method", "scorer"])
+def test_any_other_method_means_the_lexicon(spark, method):
+    df = spark.createDataFrame([(1, "a good day"), (2, "bad"), (3, None)], "id long, review_text string")
+    words = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    by_lexicon = sentiment.add_sentiment(df, "id", lexicon=words).orderBy("id").collect()
+    assert sentiment.add_sentiment(df, "id", lexicon=words, method=method).orderBy("id").collect() == by_lexicon
+    assert [row["sentiment_label"] for row in by_lexicon] == ["positive", "negative", "neutral"]

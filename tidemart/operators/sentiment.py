@@ -143,17 +143,17 @@ def headline_table(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str
 
 
 def add_sentiment(
-    df: DataFrame, id_col: str, text_col: str = "review_text", lexicon: DataFrame | None = None, method: str = LEXICON_METHOD,
+    df: DataFrame, id_col: str, text_col: str = "review_text", lexicon: DataFrame | None = None, method: str | None = LEXICON_METHOD,
     scorer: Callable[[Column], Column] | None = None, score_col: str = "sentiment_score", label_col: str = "sentiment_label", **rules,
 ) -> DataFrame:
-    """Score and label columns; null text is neutral.
+    """Score and label columns; null text is neutral. No method and any unknown one mean the lexicon.
 
     `scorer` (for method "scorer") is a vectorised function of the text column giving a struct
     (label, score), as sentiment models do; a row it cannot score, or no scorer at all, falls back
     to the lexicon.
     """
     if text_col not in df.columns:
-        raise ValueError(f"Text column '{text_col}' not found in DataFrame")
+        raise ValueError(f"no column {text_col!r} to score; the columns are {', '.join(df.columns)}")
     scores = lexicon_scores(df, lexicon, id_col, text_col, **rules).select(id_col, F.col("compound").alias("__score"), F.col("sentiment_label").alias("__label"))
     out = df.join(scores, id_col, "left")
     if method == SCORER_METHOD and scorer is not None:
@@ -163,6 +163,4 @@ def add_sentiment(
         named = F.when(label.like("%pos%"), "positive").when(label.like("%neg%"), "negative").otherwise("neutral")
         score = F.when(known, signed_score(label, F.col("__raw")["score"].cast("double"))).otherwise(F.col("__score"))
         out = out.withColumns({"__score": score, "__label": F.when(known, named).otherwise(F.col("__label"))}).drop("__raw")
-    elif method not in (LEXICON_METHOD, SCORER_METHOD):
-        raise ValueError(f"unknown method: {method}")
     return out.withColumns({score_col: F.coalesce("__score", F.lit(0.0)), label_col: F.coalesce("__label", F.lit("neutral"))}).drop("__score", "__label")

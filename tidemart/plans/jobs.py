@@ -78,7 +78,7 @@ def build_features(spark: SparkSession, source: str, target: str, numeric: Seque
     """Transactions CSV to model-ready features CSV: time parts, customer aggregates, fill, scale, one-hot."""
     raw = readers.read_csv(spark, source, readers.TRANSACTION_SCHEMA)
     if raw is None:
-        raise FileNotFoundError(f"Input file not found: {source}")
+        raise FileNotFoundError(f"no transactions at {source}")
     rows = features.CustomerAggregates().fit(raw).transform(features.add_transaction_parts(raw))
     made = ["total_amount", "avg_amount", "txn_count", "transaction_hour", "transaction_day", "transaction_month", "transaction_year"]
     encoded = prep.build_preprocessor([*numeric, *made], categorical).fit(rows).transform(rows)
