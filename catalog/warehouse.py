@@ -238,11 +238,13 @@ def _checks_sql() -> str:
 
 @query("DQ1 DQ2 DQ3 DQ5 DQ6 JOIN6", _checks_sql())
 def quality_checks(spark, sf):
-    s = stg(spark, sf)
-    channels, dates, fct = marts.star(s)
-    images = marts.fct_image_detections(marts.classify_detections(detections(spark, sf)), fct)
-    models = {"stg_messages": s, "dim_channels": channels, "dim_dates": dates, "fct_messages": fct, "fct_image_detections": images}
-    return quality.run_checks(models, quality.star_checks())
+    """Every model is written once, checked while it is written, and read by the next ones."""
+    writer = quality.CheckedWriter(quality.star_checks())
+    s = writer.write("stg_messages", stg(spark, sf))
+    channels, dates = writer.write("dim_channels", marts.dim_channels(s)), writer.write("dim_dates", marts.dim_dates(s))
+    facts = writer.write("fct_messages", marts.fct_messages(s, channels, dates))
+    writer.write("fct_image_detections", marts.fct_image_detections(marts.classify_detections(detections(spark, sf)), facts))
+    return writer.results()
 
 
 @query("DQ4 JOIN12", f"""WITH {STAR_SQL}

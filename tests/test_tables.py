@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemart.operators.quality import Check, future_messages, run_checks
+from tidemart.operators.quality import Check, CheckedWriter, future_messages, run_checks
 from tidemart.plans import jobs, marts, reports, staging
 from tidemart.sources import readers, writers
 from tidemart.sources.writers import TableFolder
@@ -166,3 +166,24 @@ def test_review_file_and_chunk_index(spark, folder):
     assert {r["product"] for r in out.select("product").distinct().collect()} == {"p0", "p1", "p2"}
     assert out.select("complaint_id").distinct().count() == 30 and "embedding" in out.columns
     assert readers.read_embeddings(spark, f"{folder}/col", "chunk_id", "embedding", ["text"]).columns == ["chunk_id", "text", "embedding"]
+
+
+def test_checks_while_writing_are_those_of_run_checks(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long")
+    child = spark.createDataFrame([(1, 1, 5), (2, 9, -1), (3, None, None), (4, 9, 2), (4, 2, -3), (None, 8, 1)], "id long, k long, views int").repartition(3)
+    checks = [
+        Check("unique", "parent", "k"), Check("not_null", "parent", "k"), Check("unique", "child", "id"), Check("not_null", "child", "id"), Check("not_null", "child", "k"),
+        Check("relationship", "child", "k", "parent", "k"), Check("relationship", "child", "id", "parent", "k"), Check("condition", "child", "views", failing=F.col("views") < 0, name="negative"),
+    ]
+    want = {
+        ("unique", "parent", "k", 1, False), ("not_null", "parent", "k", 1, False), ("unique", "child", "id", 1, False), ("not_null", "child", "id", 1, False), ("not_null", "child", "k", 1, False),
+        ("relationship", "child", "k", 3, False), ("relationship", "child", "id", 3, False), ("negative", "child", "views", 2, False),
+    }
+    assert set(map(tuple, run_checks({"parent": parent, "child": child}, checks).collect())) == want
+    writer = CheckedWriter(checks)
+    assert writer.write("parent", parent).count() == 4 and writer.write("child", child).count() == 6
+    assert set(map(tuple, writer.results().collect())) == want
+    empty = CheckedWriter(checks)
+    empty.write("parent", parent.limit(0))
+    empty.write("child", child.limit(0))
+    assert {(row["failures"], row["passed"]) for row in empty.results().collect()} == {(0, True)}

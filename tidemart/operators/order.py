@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.session import materialize, spread
+from tidemart.session import materialize
 
 SEGMENT = "__segment"
 SALTS = 32
@@ -238,7 +238,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     """
     keys = list(keys)
     number = F.col(value).cast("double")  # NaN is missing
-    present = spread(df.select(*keys, F.when(~F.isnan(number), number).alias("__v")).filter(F.col("__v").isNotNull()))
+    present = df.select(*keys, F.when(~F.isnan(number), number).alias("__v")).filter(F.col("__v").isNotNull())
     if approximate:
         return present.groupBy(*keys).agg(*[F.percentile_approx("__v", p, 10000).alias(name) for name, p in probs.items()])
     picked = _picked(_bracketed(present, keys, list(probs.values())), keys, probs, "__n")

@@ -45,23 +45,22 @@ def daily_batch(spark: SparkSession, landing: str, warehouse: str, detections: D
     """
     raw = TableFolder(spark, f"{warehouse}/raw_messages", RAW_SCHEMA)
     load_landing(spark, landing, raw, key)
-    tables: dict[str, DataFrame] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         """Every later stage reads the written table, so nothing is computed twice."""
         folder = TableFolder(spark, f"{warehouse}/{name}", df.schema)
         folder.replace(df)
-        tables[name] = folder.read()
-        return tables[name]
+        return folder.read()
 
-    stg = write("stg_messages", staging.staging_messages(raw.read()))
-    channels, dates = write("dim_channels", marts.dim_channels(stg)), write("dim_dates", marts.dim_dates(stg))
-    facts = write("fct_messages", marts.fct_messages(stg, channels, dates))
+    models = quality.CheckedWriter(quality.star_checks(detections is not None), write)
+    stg = models.write("stg_messages", staging.staging_messages(raw.read()))
+    channels, dates = models.write("dim_channels", marts.dim_channels(stg)), models.write("dim_dates", marts.dim_dates(stg))
+    facts = models.write("fct_messages", marts.fct_messages(stg, channels, dates))
     if detections is not None:
         stored = TableFolder(spark, f"{warehouse}/image_detections", readers.DETECTION_SCHEMA)
         stored.append(marts.classify_detections(detections))
-        write("fct_image_detections", marts.fct_image_detections(stored.read(), facts))
-    return quality.run_checks(tables, quality.star_checks(detections is not None))
+        models.write("fct_image_detections", marts.fct_image_detections(stored.read(), facts))
+    return models.results()
 
 
 def clean_review_file(spark: SparkSession, source: str, target: str, cols: cleaning.ReviewColumns = cleaning.ReviewColumns()) -> dict[str, DataFrame] | bool:

@@ -89,12 +89,11 @@ def classify_detections(detections: DataFrame, **options) -> DataFrame:
 def fct_image_detections(detections: DataFrame, messages: DataFrame) -> DataFrame:
     """Detections with the message keys; an id that is not a number, or not loaded, keeps null keys.
 
-    Ids that are not numbers would be one key of the join and so one task; they go around it.
+    Ids that are not numbers would be one key of the join and so one task; they are spread over keys that no message has.
     """
     d = detections.withColumn("__id", F.col("message_id").try_cast("bigint")).drop("message_id")
-    m = messages.select("message_id", "channel_key", "date_key")
-    found = ["message_id", "channel_key", "date_key"]
-    kept = ["detected_class", "confidence_score", "image_category"]
-    joined = d.filter(F.col("__id").isNotNull()).join(m, F.col("__id") == F.col("message_id"), "left").select(*found, *kept)
-    apart = d.filter(F.col("__id").isNull()).select(*[F.lit(None).cast(m.schema[c].dataType).alias(c) for c in found], *kept)
-    return joined.unionByName(apart)
+    apart = F.col("__id").isNull()
+    d = d.withColumns({"__apart": apart, "__key": F.when(apart, F.xxhash64(F.monotonically_increasing_id())).otherwise(F.col("__id"))})
+    m = messages.select("message_id", "channel_key", "date_key", F.lit(False).alias("__apart"), F.col("message_id").alias("__key"))
+    kept = ["message_id", "channel_key", "date_key", "detected_class", "confidence_score", "image_category"]
+    return d.join(m, ["__apart", "__key"], "left").select(*kept)
