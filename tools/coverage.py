@@ -14,8 +14,8 @@ from catalog import REGISTRY  # noqa: E402
 CODE = {
     "SRC1": "sources.readers.read_landing", "SRC2": "plans.staging.normalise_messages", "SRC3": "sources.readers.read_csv", "SRC4": "sources.readers.read_embeddings",
     "SRC5": "sources.readers.list_images", "SRC6": "sources.readers.read_table", "SRC7": "sources.readers.normalise_reviews", "SRC8": "sources.readers.read_preferred",
-    "SNK1": "sources.writers.write_csv", "SNK2": "sources.writers.write_metrics", "SNK3": "sources.writers.write_landing", "SNK4": "sources.writers.insert_if_absent",
-    "SNK5": "sources.writers.upsert, shape_reviews", "SNK6": "sources.writers.TableFolder.append", "SNK7": "sources.writers.create_view, create_table",
+    "SNK1": "sources.writers.write_csv", "SNK2": "sources.writers.write_metrics", "SNK3": "sources.writers.write_landing", "SNK4": "sources.writers.insert_if_absent, sources.buckets.BucketTable.insert_if_absent",
+    "SNK5": "sources.writers.upsert, shape_reviews, sources.buckets.BucketTable.upsert", "SNK6": "sources.writers.TableFolder.append", "SNK7": "sources.writers.create_view, create_table",
     "SNK8": "sources.writers.insert_statements, export_statements", "SNK9": "sources.writers.with_new_ids, register_banks", "SNK10": "sources.writers.write_collection",
     "FLT1": "plans.staging.staging_messages", "FLT2": "plans.staging.staging_messages", "FLT3": "plans.staging.staging_messages", "FLT4": "plans.reports.top_terms",
     "FLT5": "plans.reports.search_messages", "FLT6": "plans.reports.channel_activity", "FLT7": "plain filter", "FLT8": "operators.cleaning.drop_missing_critical, review_statistics",
@@ -25,7 +25,7 @@ CODE = {
     "JOIN1": "plans.marts.fct_messages", "JOIN2": "plans.marts.fct_messages", "JOIN3": "plans.marts.fct_image_detections", "JOIN4": "plans.reports.child_count",
     "JOIN5": "ml.explain.attach_actions, sources.writers.shape_reviews", "JOIN6": "operators.quality.orphan_keys", "JOIN7": "sources.writers.new_rows", "JOIN8": "operators.stats.frequent_groups, segment_kpis",
     "JOIN9": "operators.features.range_join, add_country", "JOIN10": "operators.series.align_news_with_prices, date_alignment, market_features", "JOIN11": "operators.features.CustomerAggregates",
-    "JOIN12": "operators.quality.future_messages", "JOIN13": "operators.vectors.knn_join",
+    "JOIN12": "operators.quality.future_messages", "JOIN13": "operators.vectors.knn_join, operators.cells.search",
     "AGG1": "plans.marts.channel_stats", "AGG2": "plans.marts.dim_dates", "AGG3": "plans.reports.top_terms", "AGG4": "plans.reports.visual_content", "AGG5": "plans.reports.child_count",
     "AGG6": "plans.reports.child_average", "AGG7": "plans.reports.child_average", "AGG8": "plans.reports.child_label_counts, label_count_maps", "AGG9": "plans.reports.label_totals",
     "AGG10": "operators.series.daily_sentiment", "AGG11": "operators.stats.segment_kpis", "AGG12": "operators.profile.counts_by_group", "AGG13": "operators.profile.coverage",
@@ -37,7 +37,7 @@ CODE = {
     "WIN5": "operators.series.up_down_target", "WIN6": "operators.series.significant_move", "WIN7": "operators.series.rolling_correlation", "WIN8": "operators.series.with_leads",
     "WIN9": "operators.cleaning.handle_missing, operators.order.running", "WIN10": "operators.chunks.create_chunks",
     "TOP1": "operators.cleaning.output_order", "TOP2": "operators.order.head_per_group", "TOP3": "operators.order.head_per_group", "TOP4": "operators.order.sample_rows, sample_if_larger",
-    "TOP5": "operators.order.sample_share_per_group", "TOP6": "ml.evaluate.choose_best", "SET1": "unionByName", "SET2": "sources.readers.union_all", "SET3": "distinct",
+    "TOP5": "operators.order.sample_share_per_group, first_by_hash", "TOP6": "ml.evaluate.choose_best", "SET1": "unionByName", "SET2": "sources.readers.union_all", "SET3": "distinct",
     "SCL1": "functions.text.collapse_whitespace", "SCL2": "functions.text.safe_file_name", "SCL3": "functions.text.slugify", "SCL4": "functions.text.strip_urls, strip_symbols",
     "SCL5": "plans.reports.top_terms", "SCL6": "functions.text.headline_features", "SCL7": "functions.text.shorten", "SCL8": "functions.text.last_path_part, file_stem",
     "SCL9": "plans.staging.staging_messages, functions.dates.parse_timestamp", "SCL10": "functions.dates.calendar_parts", "SCL11": "functions.dates.parse_timestamp", "SCL12": "operators.cleaning.normalise_review_dates",
@@ -51,12 +51,12 @@ CODE = {
     "ML1": "ml.prep.build_preprocessor", "ML2": "ml.prep.split_train_test", "ML3": "ml.models.regression_models", "ML4": "ml.models.classification_models", "ML5": "ml.models.light_*_models, ml.prep.with_class_weights",
     "ML6": "ml.evaluate.regression_metrics, evaluate_regression", "ML7": "ml.evaluate.classification_metrics, evaluate_classification", "ML8": "ml.tracking.tune", "ML9": "ml.tracking.cross_validate",
     "ML10": "ml.tracking.Tracker.run", "ML11": "ml.tracking.Tracker.register_best", "ML12": "ml.evaluate.compare_models", "ML13": "ml.evaluate.select_best_model", "ML14": "ml.prep.smote",
-    "ML15": "ml.prep.undersample", "ML16": "ml.explain.rfm_clusters, label_customers", "ML17": "ml.explain.score_transactions", "ML18": "ml.explain.linear_attribution, tree_importance",
+    "ML15": "ml.prep.undersample", "ML16": "ml.explain.rfm_clusters, label_customers", "ML17": "ml.explain.score_transactions", "ML18": "ml.explain.attribution, linear_attribution, tree_attribution, ml.shapley.shapley_values",
     "ML19": "ml.explain.attach_actions", "ML20": "ml.evaluate.long_metrics", "ML21": "plans.jobs.build_features",
     "VIZ1": "operators.charts.histogram", "VIZ2": "operators.charts.mean_by", "VIZ3": "operators.charts.shares", "VIZ4": "operators.charts.box_statistics", "VIZ5": "operators.charts.density_by_class",
     "VIZ6": "operators.charts.roc_points, roc_auc", "VIZ7": "operators.charts.confusion_matrix", "VIZ8": "operators.stats.correlation_matrix",
     "DQ1": "operators.quality.duplicate_keys", "DQ2": "operators.quality.null_rows, run_checks", "DQ3": "operators.quality.orphan_keys", "DQ4": "operators.quality.future_messages",
-    "DQ5": "operators.quality.negative_views", "DQ6": "operators.quality.run_checks", "STR1": "streaming.landing.load_new_files",
+    "DQ5": "operators.quality.negative_views", "DQ6": "operators.quality.run_checks, CheckedWriter", "STR1": "streaming.landing.load_new_files",
     "PIPE1": "plans.jobs.daily_batch", "PIPE2": "operators.cleaning.clean_reviews, plans.jobs.clean_review_file", "PIPE3": "plans.jobs.model_rows, prepare_fraud_rows", "PIPE4": "plans.jobs.index_chunks",
     "PIPE5": "plans.jobs.label_risk_file",
 }
