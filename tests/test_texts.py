@@ -47,6 +47,36 @@ def test_sentiment_rules(spark):
     assert got[3]["pos"] == 1.0 and got[8]["sentiment_label"] == "negative"
 
 
+def test_idioms(spark):
+    texts = [
+        "we all say cut the mustard good", "we all say yeah right good", "this is so kind of very good", "one two three kiss of death",
+        "one two three good mood", "he said the bomb good", "good the bomb", "we all say Yeah right good", "one two three good the bomb",
+    ]
+    lexicon = (("good", 1.9), ("death", -2.9), ("bomb", -2.2), ("kind", 2.4))
+    got = scores(spark, texts, lexicon, idioms={**sentiment.IDIOMS, "good the": 1.0, "good the bomb": 3.5})
+    assert got[0]["compound"] == compound(2.0)  # what stands before the word
+    assert got[1]["compound"] == compound(-2.0)
+    assert got[2]["compound"] == compound((1.9 + 0.293) * 1.0)  # a known word three back: no idioms are looked for
+    assert got[3]["compound"] == compound(-1.5)  # the word ends it
+    assert got[4]["compound"] == compound(1.9)
+    assert got[5]["compound"] == compound(3.0 + 3.0)  # it counts for the word that ends it and for the one behind it
+    assert got[6]["compound"] == compound(1.9 - 2.2)  # too near the start
+    assert got[7]["compound"] == compound(1.9)  # letter case counts
+    assert got[8]["compound"] == compound(3.5 + 3.0)  # of two that begin here the longer one
+    pair = scores(spark, ["it felt kind of all good", "it felt sort of good"], (("good", 1.9),))
+    assert pair[0]["compound"] == pair[1]["compound"] == compound(1.9 - 0.293)
+
+
+def test_long_lexicons_are_joined(spark):
+    texts = [None, "", "very good, not bad", "GOOD food but bad", "he said yeah right good"]
+    assert scores(spark, texts, map_words=1) == scores(spark, texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    lex = spark.createDataFrame([("good", 1.9), ("good", 0.5), (None, 1.0), ("bad", None)], "token string, valence double")
+    plan = sentiment.lexicon_scores(df, lex, "id", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning" not in plan and "Window" not in plan
+    assert scores(spark, ["good"], (("good", 1.9), ("good", 0.5)))[0]["compound"] == compound(1.9)
+
+
 def test_add_sentiment(spark):
     df = spark.createDataFrame([(1, "Good"), (2, "Bad"), (3, None)], "id long, review_text string")
     lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")

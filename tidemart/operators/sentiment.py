@@ -1,11 +1,12 @@
-"""Lexicon sentiment with the published valence rules, as joins and windows over tokens."""
+"""Lexicon sentiment with the published valence rules, worked out inside each row over arrays of its tokens."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import zlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.functions.numeric import clamp
@@ -29,117 +30,171 @@ NEGATIONS = (
     "oughtnt shant shouldnt uhuh wasnt werent oughtn't shan't shouldn't uh-uh wasn't weren't without wont wouldnt won't wouldn't rarely "
     "seldom despite"
 ).split()
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "yeah right": -2.0, "cut the mustard": 2.0, "kiss of death": -1.5, "hand to mouth": -2.0,
+}
+DAMPENING_PAIRS = ("kind of", "sort of")
 # One of these marks on one side of a word is cut off.
 EDGE_MARKS = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:\-'\"])"
+EDGES = ".!?,;:-'\""
 PLAIN = r"[^!-/:-@\[-`{-~]{2,}"
 
+#: A lexicon of up to this many words is a constant of the plan (some 30 bytes a word); a longer one is joined.
+MAP_WORDS = 50_000
+
 LEXICON_METHOD, SCORER_METHOD = "lexicon", "scorer"
 
 
 def sentiment_tokens(c: Column) -> Column:
     """Whitespace tokens of two or more characters, one punctuation mark cut from one side."""
     edged = rf"^(?:{EDGE_MARKS}({PLAIN})|({PLAIN}){EDGE_MARKS})$"
-    return F.transform(F.filter(whitespace_words(c), lambda t: F.length(t) > 1), lambda t: F.regexp_replace(t, edged, "$1$2"))
+    long = F.filter(whitespace_words(c), lambda t: F.length(t) > 1)
+    # The pattern walks back through a whole word; most words have no mark at either end.
+    return F.transform(long, lambda t: F.when(F.btrim(t, F.lit(EDGES)) == t, t).otherwise(F.regexp_replace(t, edged, "$1$2")))
 
 
 def _upper(t: Column) -> Column:
     return (F.upper(t) == t) & (F.lower(t) != t)
 
 
-def _token_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    tokens = spread(df.select(id_col, text_col)).select(id_col, sentiment_tokens(F.col(text_col)).alias("__tokens"))
-    capitals = F.size(F.filter("__tokens", _upper))
-    facts = tokens.select(
-        id_col, "__tokens", ((capitals > 0) & (capitals < F.size("__tokens"))).alias("mixed_caps"),
-        F.array_position(F.transform("__tokens", F.lower), "but").alias("but_at"),
-    )
-    # Outer: a plain explode makes the optimizer evaluate the tokens again in a filter before it.
-    rows = facts.select(id_col, "mixed_caps", "but_at", F.posexplode_outer("__tokens").alias("pos", "word")).filter("word is not null")
-    return rows.withColumn("token", F.lower("word"))
+def _constant_map(pairs: Mapping[str, float]) -> Callable[[Column], Column]:
+    """Look-up in a constant of the plan: one small map per hash slot, as a look-up walks through the map it is in."""
+    slots: list[dict[str, float]] = [{} for _ in range(max(1, len(pairs)))]
+    for word, value in pairs.items():
+        slots[zlib.crc32(word.encode()) % len(slots)][word] = value
+    constant = F.from_json(F.lit(json.dumps(slots)), "array<map<string,double>>")
+    return lambda word: F.try_element_at(F.get(constant, (F.crc32(word) % len(slots)).cast("int")), word)
+
 
+def _with_bases(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, map_words: int) -> DataFrame:
+    """`df` with its tokens, the same in lower case, and each one's own valence (null if it has none)."""
+    words = F.col("__words")
+    tokens = spread(df).withColumn("__words", sentiment_tokens(F.col(text_col))).withColumn("__low", F.transform(words, F.lower))
+    values = lexicon.select("token", F.col("valence").cast("double").alias("base")).dropna().groupBy("token").agg(F.max("base").alias("base"))
+    known = values.limit(map_words + 1).collect()
+    if len(known) <= map_words:
+        base = _constant_map({row["token"]: row["base"] for row in known})
+        return tokens.withColumn("__bases", F.transform("__low", base))
+    # More words than a constant should hold. Outer: a plain explode makes the optimizer evaluate the tokens again in a filter.
+    rows = tokens.select(id_col, F.posexplode_outer("__low").alias("pos", "token")).filter("token is not null").join(values, "token", "left")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "base"))), lambda t: t["base"])
+    return tokens.join(rows.groupBy(id_col).agg(ordered.alias("__bases")), id_col, "left")
 
-def token_valences(
+
+def _with_valences(
     df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str,
     boosters: Sequence[str] = BOOSTERS, dampeners: Sequence[str] = DAMPENERS, negations: Sequence[str] = NEGATIONS,
+    idioms: Mapping[str, float] = IDIOMS, dampening_pairs: Sequence[str] = DAMPENING_PAIRS, map_words: int = MAP_WORDS,
 ) -> DataFrame:
-    """(id, pos, valence) of every token after capitals, boosters, negation, 'least' and 'but'."""
-    known = _token_rows(df, id_col, text_col).join(lexicon.select("token", F.col("valence").cast("double").alias("base")), "token", "left")
-    token, word = F.col("token"), F.col("word")
-    size = F.when(token.isin(list(boosters)), BOOST).when(token.isin(list(dampeners)), -BOOST)
-    # What a later token needs to know of this one, so that the window carries flags instead of words.
-    traits = F.struct(
-        F.col("base").isNotNull().alias("known"), size.alias("boost"), (_upper(word) & F.col("mixed_caps")).alias("caps"),
-        (token.isin(list(negations)) | F.contains(token, F.lit("n't"))).alias("negates"), (word == "never").alias("never"),
-        word.isin("so", "this").alias("so"), (token == "least").alias("least"), token.isin("at", "very").alias("at"),
-        (token == "kind").alias("kind"), (token == "of").alias("of"),
-    )
-    near = W.partitionBy(id_col).orderBy("pos")
-    rows = known.select(id_col, "pos", "but_at", "base", traits.alias("t"))
-    looked = rows.withColumns({**{f"t{j}": F.lag("t", j).over(near) for j in (1, 2, 3)}, "next": F.lead("t", 1).over(near)})
+    """`df` with `__valences`: every token's valence after capitals, boosters, negation, idioms, 'least' and 'but'.
 
+    Each rule is one pass over the array of valences that looks at the neighbours in the arrays of words, and
+    only where a word has a valence of its own.
+    """
+    facts = _with_bases(df, lexicon, id_col, text_col, map_words)
+    capitals = F.size(F.filter("__words", _upper))
+    facts = facts.withColumns({
+        "__mixed": (capitals > 0) & (capitals < F.size("__words")), "__but": F.array_position("__low", "but"),
+        "__boosts": F.transform("__low", lambda w: F.when(w.isin(list(boosters)), BOOST).when(w.isin(list(dampeners)), -BOOST)),
+        "__negates": F.transform("__low", lambda w: w.isin(list(negations)) | F.contains(w, F.lit("n't"))),
+    })
+    word, low, boost, negates = (lambda i, name=name: F.get(name, i) for name in ("__words", "__low", "__boosts", "__negates"))
+    caps = lambda i: _upper(word(i)) & F.col("__mixed")
+    so = lambda i: word(i).isin("so", "this")
     sign = lambda v: F.when(v > 0, 1.0).otherwise(-1.0)
-    base = F.col("base")
-    out = looked.withColumn("v", F.when(F.col("t.caps"), base + sign(base) * CAPS).otherwise(base))
-    for j, fade, lift in ((1, 1.0, 1.0), (2, 0.95, 1.5), (3, 0.9, 1.25)):
-        t, v = F.col(f"t{j}"), F.col("v")
-        push = t["boost"] * F.when(v < 0, -1.0).otherwise(1.0) + F.when(t["caps"], sign(v) * CAPS).otherwise(0.0)
-        added = v + F.coalesce(push, F.lit(0.0)) * fade
-        never = {
-            1: F.lit(False),
-            2: t["never"] & F.col("t1.so"),
-            3: (t["never"] & F.col("t2.so")) | F.col("t1.so"),
-        }[j]
-        factor = F.when(never, lift).when(t["negates"], NEGATION).otherwise(1.0)
-        out = out.withColumn("v", F.when(t.isNotNull() & ~t["known"] & base.isNotNull(), added * factor).otherwise(v))
-    least = F.coalesce(F.col("t1.least") & ~F.col("t1.known") & ~F.coalesce("t2.at", F.lit(False)), F.lit(False))
-    skipped = F.col("t.boost").isNotNull() | (F.col("t.kind") & F.coalesce("next.of", F.lit(False)))
-    place, but_at = F.col("pos") + 1, F.col("but_at")
-    weight = F.when((but_at > 0) & (place < but_at), 0.5).when((but_at > 0) & (place > but_at), 1.5).otherwise(1.0)
-    v = F.when(skipped, 0.0).otherwise(F.coalesce(F.col("v"), F.lit(0.0)) * F.when(least, NEGATION).otherwise(1.0)) * weight
-    return out.select(id_col, "pos", v.alias("valence"))
+    plain = lambda v, i, j: v.isNotNull() & (i >= j) & F.get("__bases", i - j).isNull()
 
+    v = F.transform("__bases", lambda v, i: F.when(v.isNotNull() & caps(i), v + sign(v) * CAPS).otherwise(v))
 
-def lexicon_scores(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
-    """(id, neg, neu, pos, compound, sentiment_label) per row of the unique `id_col`.
+    def looked_back(valences: Column, j: int, fade: float, lift: float) -> Column:
+        def rule(v: Column, i: Column) -> Column:
+            push = boost(i - j) * F.when(v < 0, -1.0).otherwise(1.0) + F.when(caps(i - j), sign(v) * CAPS).otherwise(0.0)
+            never = {
+                1: F.lit(False),
+                2: (word(i - 2) == "never") & so(i - 1),
+                3: ((word(i - 3) == "never") & so(i - 2)) | so(i - 1),
+            }[j]
+            factor = F.when(never, lift).when(negates(i - j), NEGATION).otherwise(1.0)
+            return F.when(plain(v, i, j), (v + F.coalesce(push, F.lit(0.0)) * fade) * factor).otherwise(v)
 
-    `lexicon` is a (token, valence) table, tokens lower-case. Null text is neutral (0, 1, 0, 0).
-    """
-    v = F.col("valence")
-    sums = token_valences(df, lexicon, id_col, text_col, **rules).groupBy(id_col).agg(
-        F.sum("valence").alias("total"),
-        F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("up"),
-        F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("down"),
-        F.count_if(v == 0).alias("flat"),
-    )
+        return F.transform(valences, rule)
+
+    for j, fade, lift in ((1, 1.0, 1.0), (2, 0.95, 1.5), (3, 0.9, 1.25)):
+        v = looked_back(v, j, fade, lift)
+    if idioms or dampening_pairs:
+        phrase = lambda *places: F.concat(*[part for place in places for part in (F.lit(" "), word(place))][1:])
+        value = _constant_map(idioms)
+
+        def idiomatic(v: Column, i: Column) -> Column:
+            # What the word begins comes before what it ends, and both before what stands in front of it.
+            begun = (value(phrase(i, i + 1, i + 2)), value(phrase(i, i + 1)))
+            ended = (value(phrase(i - 1, i)), value(phrase(i - 2, i - 1, i)))
+            before = (value(phrase(i - 2, i - 1)), value(phrase(i - 3, i - 2, i - 1)), value(phrase(i - 3, i - 2)))
+            pairs = list(dampening_pairs)
+            drop = F.when(phrase(i - 3, i - 2).isin(pairs) | phrase(i - 2, i - 1).isin(pairs), BOOST).otherwise(0.0)
+            return F.when(plain(v, i, 3), F.coalesce(*begun, *ended, *before, v) - drop).otherwise(v)
+
+        v = F.transform(v, idiomatic)
+
+    def settled(v: Column, i: Column) -> Column:
+        least = (low(i - 1) == "least") & F.get("__bases", i - 1).isNull() & ~F.coalesce(low(i - 2).isin("at", "very"), F.lit(False))
+        skipped = boost(i).isNotNull() | ((low(i) == "kind") & F.coalesce(low(i + 1) == "of", F.lit(False)))
+        but, place = F.col("__but"), i + 1
+        weight = F.when((but > 0) & (place < but), 0.5).when((but > 0) & (place > but), 1.5).otherwise(1.0)
+        return F.when(v.isNull() | skipped, 0.0).otherwise(v * F.when(least, NEGATION).otherwise(1.0) * weight)
+
+    return facts.withColumn("__valences", F.transform(v, settled)).drop("__words", "__low", "__bases", "__mixed", "__but", "__boosts", "__negates")
+
+
+def token_valences(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
+    """(id, pos, valence) of every token."""
+    return _with_valences(df.select(id_col, text_col), lexicon, id_col, text_col, **rules).select(id_col, F.posexplode("__valences").alias("pos", "valence"))
+
+
+def _with_scores(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
+    """`df` with the struct `__scores` of neg, neu, pos, compound and sentiment_label."""
+    nothing = F.struct(*[F.lit(0.0).alias(name) for name in ("total", "up", "down", "flat")])
+    sums = F.aggregate("__valences", nothing, lambda acc, v: F.struct(
+        (acc["total"] + v).alias("total"),
+        F.when(v > 0, acc["up"] + v + 1).otherwise(acc["up"]).alias("up"),
+        F.when(v < 0, acc["down"] + 1 - v).otherwise(acc["down"]).alias("down"),
+        F.when(v == 0, acc["flat"] + 1).otherwise(acc["flat"]).alias("flat"),
+    ))
     text = F.col(text_col)
     bangs = F.least(F.length(text) - F.length(F.replace(text, F.lit("!"))), F.lit(4)) * 0.292
     marks = F.length(text) - F.length(F.replace(text, F.lit("?")))
     emphasis = bangs + F.when(marks > 3, 0.96).when(marks > 1, marks * 0.18).otherwise(0.0)
-    facts = df.select(id_col, text.isNull().alias("absent"), emphasis.alias("emphasis")).join(sums, id_col, "left")
-    total, up, down, extra = F.col("total"), F.col("up"), F.col("down"), F.col("emphasis")
+    scored = _with_valences(df, lexicon, id_col, text_col, **rules).withColumns({"__sums": sums, "__extra": emphasis})
+    total, up, down, extra = F.col("__sums.total"), F.col("__sums.up"), F.col("__sums.down"), F.col("__extra")
     total = F.when(total > 0, total + extra).when(total < 0, total - extra).otherwise(total)
-    compound = clamp(total / F.sqrt(total * total + ALPHA))
-    shaped = facts.select(
-        id_col, "absent", "flat", compound.alias("compound"),
-        F.when(up > down, up + extra).otherwise(up).alias("up"),
-        F.when(down > up, down + extra).otherwise(down).alias("down"),
-    )
-    whole = F.col("up") + F.col("down") + F.col("flat")
-    part = lambda c, digits=3: F.round(F.coalesce(F.try_divide(F.col(c).cast("double"), whole), F.lit(0.0)), digits)
-    out = shaped.select(
-        id_col,
-        part("down").alias("neg"),
-        F.when(F.col("absent"), 1.0).otherwise(part("flat")).alias("neu"),
-        part("up").alias("pos"),
-        F.round(F.coalesce("compound", F.lit(0.0)), 4).alias("compound"),
-    )
-    return out.withColumn("sentiment_label", sentiment_label(F.col("compound")))
+    scored = scored.withColumns({
+        "__total": total, "__up": F.when(up > down, up + extra).otherwise(up), "__down": F.when(down > up, down + extra).otherwise(down),
+    })
+    total, up, down, flat = F.col("__total"), F.col("__up"), F.col("__down"), F.col("__sums.flat")
+    part = lambda c, digits=3: F.round(F.coalesce(F.try_divide(c, up + down + flat), F.lit(0.0)), digits)
+    compound = F.round(F.coalesce(clamp(total / F.sqrt(total * total + ALPHA)), F.lit(0.0)), 4)
+    scores = F.struct(
+        part(down).alias("neg"), F.when(text.isNull(), 1.0).otherwise(part(flat)).alias("neu"), part(up).alias("pos"),
+        compound.alias("compound"), sentiment_label(compound).alias("sentiment_label"),
+    )
+    return scored.withColumn("__scores", scores).drop("__valences", "__sums", "__extra", "__total", "__up", "__down")
+
+
+def lexicon_scores(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
+    """(id, neg, neu, pos, compound, sentiment_label) per row.
+
+    `lexicon` is a (token, valence) table, tokens lower-case; the greatest valence of a token counts. Up to
+    `map_words` of them become a constant of the plan, so a row is scored where it is read; longer lexicons are
+    joined to the tokens, and then `id_col` must be unique. Null text is neutral (0, 1, 0, 0).
+    """
+    return _with_scores(df.select(id_col, text_col), lexicon, id_col, text_col, **rules).select(id_col, "__scores.*")
 
 
 def headline_table(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
     """Scores plus the headline's own features."""
-    own = df.select(id_col, *[c.alias(n) for n, c in headline_features(F.col(text_col)).items()])
-    return lexicon_scores(df, lexicon, id_col, text_col, **rules).drop("sentiment_label").join(own, id_col)
+    own = [c.alias(n) for n, c in headline_features(F.col(text_col)).items()]
+    scored = _with_scores(df.select(id_col, text_col), lexicon, id_col, text_col, **rules)
+    return scored.select(id_col, "__scores.neg", "__scores.neu", "__scores.pos", "__scores.compound", *own)
 
 
 def add_sentiment(
@@ -154,8 +209,8 @@ def add_sentiment(
     """
     if text_col not in df.columns:
         raise ValueError(f"no column {text_col!r} to score; the columns are {', '.join(df.columns)}")
-    scores = lexicon_scores(df, lexicon, id_col, text_col, **rules).select(id_col, F.col("compound").alias("__score"), F.col("sentiment_label").alias("__label"))
-    out = df.join(scores, id_col, "left")
+    scored = _with_scores(df, lexicon, id_col, text_col, **rules)
+    out = scored.withColumns({"__score": F.col("__scores.compound"), "__label": F.col("__scores.sentiment_label")}).drop("__scores")
     if method == SCORER_METHOD and scorer is not None:
         raw = scorer(F.coalesce(F.col(text_col), F.lit("")))
         out = out.withColumn("__raw", raw)
