@@ -65,10 +65,50 @@ def test_odd_batches(spark, folder):
 def test_second_writer_of_a_batch_changes_nothing(spark, folder):
     store = rollups.Rollup(spark, folder)
     sums = rollups.summed(spark.createDataFrame([("insert", "a", "en", "v1", 3, 9, None, None)], SCHEMA))
-    assert store._commit("one", sums, []) and not store._commit("one", sums, [])
+    place = store._batch("one")
+    assert store._commit(place, sums) and not store._commit(place, sums)
     assert totals(store) == {("a", "en", "v1"): (1, 3, 9)}
 
 
+def one_more(spark, n=1):
+    return spark.createDataFrame([("insert", "a", "en", "v1", 3, 9, None, None)] * n, SCHEMA)
+
+
+def test_a_writer_that_dies_loses_nothing(spark, folder):
+    store = rollups.Rollup(spark, folder)
+    rename = store._names
+
+    class Dying:
+        def rename(self, *_):
+            raise OSError("lost")
+
+    store._names = Dying()
+    with pytest.raises(OSError):
+        store.apply("one", one_more(spark))
+    assert store.committed() == [] and totals(store) == {}
+    store._names = rename
+    assert store.apply("one", one_more(spark)) and not store.apply("one", one_more(spark))
+    assert totals(store) == {("a", "en", "v1"): (1, 3, 9)}
+
+
+def test_compactions_that_race(spark, folder):
+    store, other = rollups.Rollup(spark, folder), rollups.Rollup(spark, folder)
+    assert store.apply("one", one_more(spark)) and store.apply("", one_more(spark))
+    seen = other._counting()
+    assert store.compact("first")
+    other._counting = lambda: seen  # it looked before the first one was committed
+    assert not other.compact("second") and totals(store) == {("a", "en", "v1"): (2, 6, 18)}
+    seen = store._counting()
+    assert store.apply("while it runs", one_more(spark, 3))
+    other._counting = lambda: seen
+    assert other.compact("third")
+    assert totals(store) == {("a", "en", "v1"): (5, 15, 45)}
+    assert store.compact("fourth") and not store.compact("fourth") and not store.compact("one")
+    assert totals(store) == {("a", "en", "v1"): (5, 15, 45)}
+    assert not store.apply("one", one_more(spark)) and not store.apply("third", one_more(spark))
+    assert store.committed() == ["", "first", "fourth", "one", "third", "while it runs"]
+
+
 def test_token_count_is_the_vocabulary_s(spark):
     texts = ["", None, "a b  c\n\nd", "é" * 40, "<|endoftext|>"]
     rows = spark.createDataFrame([(text,) for text in texts], "text string").select(rollups.token_count(F.col("text")).alias("n")).collect()

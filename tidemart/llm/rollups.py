@@ -4,10 +4,15 @@ A change feed has one row per event: `change` is 'insert', 'delete' or 'revise',
 tokenizer version, its counts, and for a revision the counts it had before (`old_tokens`, `old_chars`). Every event is
 additive: an insert adds, a delete takes away, a revision adds the difference, so totals never need the documents
 again. A batch is summed by group (partial sums in each task, so no source crowds one), and the sums are written
-as a folder of Parquet. The batch is committed when a marker file with its id and that folder's name exists;
-making the marker fails if there is one, so of two writers, retries or replays of a batch exactly one counts
-and the others change nothing. Totals are the sums over the committed batches; `compact` commits
-one batch that stands for all it names, which then no longer count.
+as Parquet to a staged folder. The batch is committed by renaming that folder, whole as it is, to the name made from
+the batch's id; renaming fails if the name is taken, so of two writers, retries or replays of a batch exactly one
+counts and the others change nothing. A writer that dies leaves a staged folder that nobody reads, and the
+batch can be applied again. The folder must be on a file system that renames folders in one step.
+
+Totals are the sums over the committed batches. `compact` commits sums that stand for all batches it saw, under the number after the
+newest compaction's: of two compactions that saw the same, one gets the number and the other changes nothing, and a batch
+committed meanwhile is not among those it stands for and goes on counting by itself. The newest compaction
+and the batches it does not stand for are all that totals read; a batch's name stays for as long as replays must be known.
 
 Null sources and languages are groups of their own; null counts are 0; repeated events count as often as they come;
 an empty batch is committed without rows. Unknown changes raise an error when the batch is computed.
@@ -67,53 +72,83 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._files = self._path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _marker(self, batch: str):
-        return self._path(f"{self.folder}/committed/{batch.encode().hex()}.json")
-
-    def _committed(self) -> dict[str, dict]:
-        root = self._path(f"{self.folder}/committed")
-        if not self._files.exists(root):
-            return {}
-        lines = (r["value"] for r in self.spark.read.text(f"{self.folder}/committed").collect())  # one line per batch
-        return {entry["batch"]: entry for entry in map(json.loads, lines)}
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        conf = spark._jsc.hadoopConfiguration()
+        self._path = hadoop.Path
+        self._files = self._path(self.folder).getFileSystem(conf)
+        self._names = hadoop.FileContext.getFileContext(self._files.makeQualified(self._path(self.folder)).toUri(), conf)
+        kind = getattr(hadoop, "Options$Rename")
+        self._keep = spark.sparkContext._gateway.new_array(kind, 1)
+        self._keep[0] = kind.NONE
+
+    def _batch(self, batch: str) -> str:
+        return f"{self.folder}/batches/b{batch.encode().hex()}"
+
+    def _listed(self, part: str) -> list[str]:
+        root = self._path(f"{self.folder}/{part}")
+        return [status.getPath().getName() for status in self._files.listStatus(root)] if self._files.exists(root) else []
+
+    def _newest(self) -> tuple[int, list[str], list[str]]:
+        """Number of the newest compaction, the ids of all compactions, and the batch folders it stands for."""
+        number = max((int(name[1:]) for name in self._listed("compacted")), default=0)
+        if not number:
+            return 0, [], []
+        lines = self.spark.read.text(self._covered(f"{self.folder}/compacted/g{number}")).collect()  # one line
+        entry = json.loads(lines[0]["value"])
+        return number, entry["ids"], entry["batches"]
+
+    @staticmethod
+    def _covered(folder: str) -> str:
+        return f"{folder}/covered/list.json"
 
     def committed(self) -> list[str]:
-        return sorted(self._committed())
+        return sorted([bytes.fromhex(name[1:]).decode() for name in self._listed("batches")] + self._newest()[1])
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Sum and commit a batch; False, and nothing changes, if its id is committed already."""
-        if self._files.exists(self._marker(batch)):
+        if self._files.exists(self._path(self._batch(batch))) or batch in self._newest()[1]:
             return False
-        return self._commit(batch, summed(changes), [])
-
-    def _commit(self, batch: str, sums: DataFrame, replaces: list[str]) -> bool:
-        data = f"sums/{uuid.uuid4().hex}"
-        sums.write.parquet(f"{self.folder}/{data}")
+        return self._commit(self._batch(batch), summed(changes))
+
+    def _commit(self, place: str, sums: DataFrame, covered: dict | None = None) -> bool:
+        staged = f"{self.folder}/staged/{uuid.uuid4().hex}"
+        sums.write.parquet(f"{staged}/sums")
+        if covered is not None:
+            out = self._files.create(self._path(self._covered(staged)), False)
+            out.write(bytearray(json.dumps(covered).encode()))
+            out.close()
+        target = self._path(place)
+        self._files.mkdirs(target.getParent())
         try:
-            out = self._files.create(self._marker(batch), False)  # fails if another writer was first
+            self._names.rename(self._path(staged), target, self._keep)  # fails if another writer was first
         except Exception as error:
-            if not self._files.exists(self._marker(batch)):
+            if not self._files.exists(target):
                 raise error
-            self._files.delete(self._path(f"{self.folder}/{data}"), True)
+            self._files.delete(self._path(staged), True)
             return False
-        out.write(bytearray(json.dumps({"batch": batch, "data": data, "replaces": replaces}).encode()))
-        out.close()
         return True
 
-    def _counting(self) -> dict[str, dict]:
-        found = self._committed()
-        gone = {name for entry in found.values() for name in entry["replaces"]}
-        return {name: entry for name, entry in found.items() if name not in gone}
+    def _counting(self) -> tuple[list[str], int, list[str], list[str]]:
+        """Folders of sums that count, the newest compaction's number and ids, and all batch folders, from one look at each list."""
+        number, ids, old = self._newest()  # before the batches: what it stands for is among them
+        batches = self._listed("batches")
+        newer = sorted(set(batches) - set(old))
+        folders = [f"{self.folder}/compacted/g{number}/sums"] if number else []
+        return folders + [f"{self.folder}/batches/{name}/sums" for name in newer], number, ids, sorted(batches)
 
-    def totals(self) -> DataFrame:
-        """Sums over the committed batches by group."""
-        folders = [f"{self.folder}/{entry['data']}" for _, entry in sorted(self._counting().items())]
+    def _sums(self, folders: list[str]) -> DataFrame:
         rows = self.spark.read.schema(SCHEMA).parquet(*folders) if folders else self.spark.createDataFrame([], SCHEMA)
         return rows.groupBy(*GROUP).agg(*[F.sum(name).alias(name) for name in TOTALS])
 
+    def totals(self) -> DataFrame:
+        """Sums over the committed batches by group."""
+        return self._sums(self._counting()[0])
+
     def compact(self, batch: str) -> bool:
-        """Put one batch in the place of all that count now; ids of batches replaced stay committed."""
-        return self._commit(batch, self.totals(), sorted(self._counting()))
+        """Put one set of sums in the place of all that count now; ids of batches it stands for stay committed.
+
+        False, and nothing changes, if the id is committed already or another compaction came first."""
+        folders, number, ids, batches = self._counting()
+        if batch in ids or self._batch(batch).rsplit("/", 1)[1] in batches:
+            return False
+        return self._commit(f"{self.folder}/compacted/g{number + 1}", self._sums(folders), {"ids": [*ids, batch], "batches": batches})
