@@ -86,11 +86,8 @@ def poisson_table(rate: Column) -> Column:
 
 def copies(table: Column, seed: int, key: Column) -> Column:
     """Number of copies of one document: the inverse of the distribution at its hashed numbers, summed over the parts."""
-    return F.aggregate(
-        F.sequence(F.lit(1), table["parts"]),
-        F.lit(0),
-        lambda acc, part: acc + F.size(F.filter(table["below"], lambda p: p < hashed_uniform(F.lit(seed), key, part))),
-    )
+    draws = F.transform(F.sequence(F.lit(1), table["parts"]), lambda part: hashed_uniform(F.lit(seed), key, part))
+    return F.aggregate(draws, F.lit(0), lambda acc, draw: acc + F.size(F.filter(table["below"], lambda p: p < draw)))
 
 
 def replicate(docs: DataFrame, rates: DataFrame, seed: int = 0, key: str = "doc_id", source: str = "source", copy: str = "copy") -> DataFrame:
