@@ -96,10 +96,18 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class_id", F.lit("own"))
     kept = forest.one_of_each_class(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 3, 3, 4, 5]
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in kept.na.fill("-", ["text"]).collect()) == [(0, "x"), (3, "a b c d e f"), (4, ""), (5, "-")]
     assert forest.classes(docs.limit(0)).collect() == []
 
 
+def test_no_copy_stays_under_null_or_repeated_keys(spark):
+    one, other = "a b c d e f", "one text that is not the same"
+    rows = [(3, one), (3, one), (None, one), (4, one), (4, other), (2, other), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("own"))
+    kept = [(r["doc_id"], r["text"], r["_row"]) for r in forest.one_of_each_class(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, one, "own"), (2, other, "own"), (None, None, "own"), (None, "", "own")], key=str)
+
+
 def test_prefix_is_shortened_until_the_recall():
     assert forest.shared_prefix() == 4
     assert forest.shared_prefix(target=0.9) > 4

@@ -1,13 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join by MinHash prefixes, after the LSH forest, and exact verification.
 
 A text is the set of its five-word shingles (lower case, split at white space; a shorter text is one shingle
 of all its words). Texts of equal shingle sets are one class of copies, named by its smallest key; classes
 are joined, copies are not expanded into pairs.
 
-Every class has `trees` sequences of MinHash values. The sequences of a tree, sorted, are the prefix trie of
-its forest, and classes below one node share a prefix. The prefix starts at full depth and is shortened
-level by level until a pair right at the threshold meets in at least one tree with the target probability
-(`shared_prefix`); more similar pairs meet oftener. Classes below one node are compared in blocks of
+Every class has `trees` sequences of MinHash values, and classes that share a prefix of a sequence meet. The length of
+the prefix is the greatest at which a pair right at the threshold meets in at least one tree with the target
+probability (`shared_prefix`); more similar pairs meet oftener. It is one length for all data, worked out beforehand: a
+forest that shortens prefixes by what each has matched is not built. Classes below one prefix ("node") are compared in blocks of
 `block` by small sketches, with a margin wide enough that a true link is not lost there (under one in 10^5 at the
 threshold, besides the recall target), and only a spanning set of the likely links goes on. The groups these
 links connect are verified exactly, again in blocks: counts of common shingles come from matrix
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.links import components
-from tidemart.llm.rows import quoted
+from tidemart.llm.rows import free_name, quoted
 from tidemart.session import materialize
 
 SHINGLE = 5
@@ -313,7 +313,22 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int
 
 
 def one_of_each_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose key names its class; rows with null keys stay, rows of one key stay or go together."""
-    named = classes(docs, key, text)
-    gone = named.filter(F.col(quoted(key)) != F.col("class_id")).select(F.col(quoted(key)))
-    return docs.join(gone, key, "left_anti").select(*[F.col(quoted(column)) for column in docs.columns])
+    """One row of each class: the one with the smallest key, null keys last.
+
+    Where keys are null or repeated, rows are numbered in a written copy and classed by that number, so rows
+    of one key with different texts are judged each by its own text, and of equal rows one stays. Rows
+    whose texts have no words all stay.
+    """
+    name = F.col(quoted(key))
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(name).alias("keys")).first()
+    own = [F.col(quoted(column)) for column in docs.columns]
+    if size["rows"] == size["keys"]:
+        named = classes(docs, key, text)
+        gone = named.filter(name != F.col("class_id")).select(name)
+        return docs.join(gone, key, "left_anti").select(*own)
+    number = free_name(docs.columns, "_row")
+    rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    named = classes(rows.select(number, F.col(quoted(text)).alias("text")), number, "text").select(number, "class_id")
+    keyed = rows.select(number, name.alias("key")).join(named, number)
+    best = keyed.groupBy("class_id").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", number)).alias("best"))
+    return rows.join(best.select(F.col("best")[number].alias(number)), number, "left_semi").select(*own)
