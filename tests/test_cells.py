@@ -89,3 +89,33 @@ def test_too_many_centres_are_refused(corpus, monkeypatch):
     monkeypatch.setattr(cells, "CENTRE_BYTES", 100)
     with pytest.raises(ValueError, match="fewer cells"):
         cells.build_index(corpus, cells=12)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_queries_in_many_groups_hold_one_group_a_task(spark, monkeypatch, exact):
+    """Every row asks: whatever the groups, each query meets its own cells, and the rows sent grow with groups, not with queries times cells."""
+    monkeypatch.setattr(vectors, "GROUP_ROWS", 64)
+    monkeypatch.setattr(cells, "QUERY_ROWS", 64)
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(500, 6)).round(1)
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    asking = rows.withColumnRenamed("vec_id", "query_id")
+    index = cells.build_index(rows, cells=12)
+    sent = []
+    stream = cells.stream_past
+    monkeypatch.setattr(cells, "stream_past", lambda asked, blocks, *rest: sent.append((asked.count(), blocks.count())) or stream(asked, blocks, *rest))
+    found = cells.search(index, asking, 4, cells=3, exact=exact, exclude_self=True).collect()
+    away = ((points[:, None, :] - points[None, :, :]) ** 2).sum(2)
+    home = np.sqrt(((points[:, None, :] - index.centres[None, :, :]) ** 2).sum(2))
+    own_cells = home.argsort(1)[:, :3]
+    for q in range(len(points)):
+        allowed = np.ones(len(points), bool) if exact else np.isin(home.argmin(1), own_cells[q])
+        allowed[q] = False
+        want = sorted(np.flatnonzero(allowed), key=lambda c: (away[q, c], c))[:4]
+        assert [r["vec_id"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == want
+    for groups, blocks in sent:
+        assert 500 // 64 <= groups <= 40 and blocks <= groups * (500 // 16 + 12)
+    joined = {(r["query_id"], r["vec_id"]): r["rank"] for r in vectors.knn_join(asking, rows, 4, exclude_self=True).collect()}
+    if exact:
+        assert joined == {(r["query_id"], r["vec_id"]): r["rank"] for r in found}

@@ -4,11 +4,12 @@ Building: centres are fitted on a bounded sample, every corpus row is assigned t
 written to its own partition in blocks of at most `BLOCK_ROWS` vectors. A large cell is dealt over several tasks. With the
 centres the index keeps every cell's size and radius.
 
-Searching: queries stay a DataFrame. Each is assigned to its nearest cells, the queries of a cell are packed into blocks, blocks
-of queries meet blocks of vectors in an equi join on the cell, and each meeting keeps the k best of every query. Only
-the centres are shared with tasks; their size is checked. An approximate search ends here. An exact one knows an upper bound
-from the k-th distance found and visits the remaining cells whose centre is nearer than that bound plus the cell's radius:
-by the triangle inequality no other cell can hold a nearer vector.
+Searching: queries stay a DataFrame. They are packed into large groups by their nearest cell; a group knows which cells any of its queries
+has to visit, and the blocks of those cells stream past it (`vectors.stream_past`), where each query meets its own cells and keeps the k
+best. So a vector of the corpus is sent once per group of queries, and a query never once per cell. Only the centres are shared with
+tasks; their size is checked. An approximate search ends with each query's nearest cells. An exact one knows an upper bound from the
+k-th distance found there and meets every cell whose centre is nearer than that bound plus the cell's radius: by the triangle
+inequality no other cell can hold a nearer vector.
 """
 
 from __future__ import annotations
@@ -25,17 +26,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.operators.order import hash_order, head_per_group, sample_rows
-from tidemart.operators.vectors import _id, _nearest
+from tidemart.operators.vectors import GROUP_ROWS, _id, group_rows, packed_rows, stream_past
 from tidemart.session import materialize, new_shared_path
 
-#: Vectors of a block of the corpus, and of a block of queries.
-BLOCK_ROWS, QUERY_ROWS = 1024, 256
+#: Vectors of a block of the corpus, and queries of a group at most.
+BLOCK_ROWS, QUERY_ROWS = 1024, GROUP_ROWS
 #: Rows of one cell that a writing task gets.
 TASK_ROWS = 64 * BLOCK_ROWS
 #: Sampled rows per centre; with the number of cells this bounds what the centres are fitted on.
 SAMPLE_PER_CELL = 128
 #: The centres are shared with every task, so they may take so many bytes.
 CENTRE_BYTES = 256 << 20
+#: Distances of queries to all centres that a task holds, in bytes.
+VISIT_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -148,58 +151,62 @@ def _packed(size: int):
     return pack
 
 
-def _meet(index: CellIndex, visits: DataFrame, k: int) -> DataFrame:
-    """(q, c, distance) of the k best in every block that a query visits; `visits` are rows (id, vector, cell)."""
-    kind, corpus_kind = visits.schema["id"].dataType.simpleString(), index.id_type.simpleString()
-    salt = F.pmod(F.xxhash64("id"), F.lit(int(index.spark.conf.get("spark.sql.shuffle.partitions"))))
-    # by cell and a hash, so that a cell that very many queries visit is packed by several tasks
-    dealt = visits.repartition("cell", salt).sortWithinPartitions("cell").select("id", "vector", "cell")
-    packed = dealt.mapInArrow(_packed(QUERY_ROWS), f"ids array<{kind}>, vectors binary, cell int")
-    met = packed.select("cell", F.col("ids").alias("asked"), F.col("vectors").alias("points")).join(index.blocks(), "cell")
-    width = index.centres.shape[1] if index.centres.size else 1
+def _homes(index: CellIndex, queries: DataFrame) -> DataFrame:
+    """(id, vector, home): each query with its nearest cell, which queries are grouped by."""
+    shared = index.spark.sparkContext.broadcast((index.centres, index.radii))
+    kind = queries.schema["id"].dataType.simpleString()
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, radii = shared.value
         for batch in batches:
-            for asked, points, ids, vectors in zip(*batch.columns, strict=True):
-                own, others = np.frombuffer(points.as_py()).reshape(-1, width), np.frombuffer(vectors.as_py()).reshape(-1, width)
-                names = np.array(ids.as_py())
-                found = [(np.empty(0), names[:0]) for _ in own]
-                _nearest(own, names, others, k, found)
-                counts = [len(one) for one, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        asked.values.take(pa.array(np.repeat(np.arange(len(own)), counts))), pa.array(np.concatenate([one for _, one in found])),
-                        pa.array(np.concatenate([one for one, _ in found])),
-                    ],
-                    ["q", "c", "distance"],
-                )
+            if batch.num_rows and len(centres):
+                away = _distances(_matrix(batch.column(1)), centres)
+                away[:, radii < 0] = np.inf  # empty cells
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(away.argmin(1).astype(np.int32))], ["id", "vector", "home"])
 
-    return met.select("asked", "points", "ids", "vectors").mapInArrow(best, f"q {kind}, c {corpus_kind}, distance double")
+    return queries.mapInArrow(placed, f"id {kind}, vector array<double>, home int")
 
 
-def _visits(index: CellIndex, queries: DataFrame, nearest: int, others: bool) -> DataFrame:
-    """(id, vector, cell): each query's `nearest` cells, or with `others` those beyond that its column `bound` (a distance) does not exclude."""
-    shared = index.spark.sparkContext.broadcast((index.centres, index.radii))
+def _meet(index: CellIndex, queries: DataFrame, k: int, nearest: int | None = None) -> DataFrame:
+    """(q, c, distance) of the k best of every query (id, vector, home) in its `nearest` cells, or in all that its column `bound` (a distance) reaches."""
     kind = queries.schema["id"].dataType.simpleString()
+    shared = index.spark.sparkContext.broadcast((index.centres, index.radii))
+    far = lambda distance: distance * (1 + 1e-9) + 1e-9
 
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def with_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, radii = shared.value
+        rows = max(1, VISIT_BYTES // (8 * max(1, len(centres))))
         for batch in batches:
-            if not batch.num_rows or not len(centres):
-                continue
-            away = _distances(_matrix(batch.column(1)), centres)
-            away[:, radii < 0] = np.inf  # empty cells
-            order = np.argsort(away, axis=1, kind="stable")
-            near = np.zeros(away.shape, bool)
-            np.put_along_axis(near, order[:, :nearest], True, axis=1)
-            if others:
-                bound = np.asarray(batch.column(2), np.float64)[:, None]
-                near = ~near & (away - radii[None, :] <= bound * (1 + 1e-9) + 1e-9)
-            row, cell = np.nonzero(near & np.isfinite(away))
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(cell.astype(np.int32))], ["id", "vector", "cell"])
-
-    return queries.mapInArrow(chosen, f"id {kind}, vector array<double>, cell int")
+            for i in range(batch.num_rows):
+                points = np.frombuffer(batch.column(1)[i].as_py()).reshape(len(batch.column(0)[i]), -1)
+                bounds = np.frombuffer(batch.column(2)[i].as_py())
+                cells, reach = np.zeros(len(centres), bool), []
+                for start in range(0, len(points), rows):
+                    away = _distances(points[start : start + rows], centres)
+                    away[:, radii < 0] = np.inf  # empty cells
+                    if nearest is None:
+                        near = away - radii[None, :] <= far(bounds[start : start + rows, None])
+                    else:
+                        reach.append(np.partition(away, min(nearest, len(centres)) - 1, axis=1)[:, min(nearest, len(centres)) - 1])
+                        near = away <= far(reach[-1][:, None])
+                    cells |= (near & np.isfinite(away)).any(0)
+                reach = pa.array([np.concatenate(reach).tobytes() if reach else b""], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(i, 1).columns, reach, pa.array([np.flatnonzero(cells).tolist()], pa.list_(pa.int32()))], ["ids", "vectors", "bounds", "reach", "cells"]
+                )
+
+    def helped(points: np.ndarray, limits: np.ndarray, reach: np.ndarray, cell: int) -> np.ndarray:
+        centres, radii = shared.value
+        away = _distances(points, centres[[cell]])[:, 0]
+        return away <= far(reach) if len(reach) else away - radii[cell] <= far(np.sqrt(limits))
+
+    size = min(QUERY_ROWS, group_rows(index.centres.shape[1]))
+    groups = queries.repartitionByRange(max(1, -(-queries.count() // size)), "home", "id").select("id", "vector", *([] if nearest else ["bound"]))
+    packed = groups.mapInArrow(packed_rows(size), f"ids array<{kind}>, vectors binary, bounds binary")
+    packed = packed.mapInArrow(with_cells, f"ids array<{kind}>, vectors binary, bounds binary, reach binary, cells array<int>")
+    packed = materialize(packed.withColumn("grp", F.monotonically_increasing_id()), "groups")
+    blocks = packed.select("grp", F.explode("cells").alias("cell")).join(index.blocks(), "cell")
+    return stream_past(packed, blocks, k, helped)
 
 
 def search(
@@ -209,14 +216,13 @@ def search(
     """(query_id, corpus_id, distance, rank) of the k nearest (squared L2, ties by id) among each query's `cells` nearest cells,
     or with `exact` among all rows. Query ids are unique; queries without a vector have no rows. `exclude_self` leaves out the row with the query's own id."""
     asked = queries.filter(F.col(vector).isNotNull()).select(_id(queries, query_id).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    asked = materialize(asked, "queries")
+    asked = materialize(_homes(index, asked), "queries")
     want = k + 1 if exclude_self else k
-    found = head_per_group(_meet(index, _visits(index, asked, cells, False), want), ["q"], ["distance", "c"], want)
+    found = head_per_group(_meet(index, asked, want, cells), ["q"], ["distance", "c"], want)
     if exact and len(index.centres) > cells:
-        found = materialize(found, "found")
         last = found.groupBy("q").agg(F.when(F.count(F.lit(1)) >= want, F.sqrt(F.max("distance"))).alias("bound"))
-        bounded = asked.join(last.withColumnRenamed("q", "id"), "id", "left").select("id", "vector", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
-        found = found.unionByName(_meet(index, _visits(index, bounded, cells, True), want))
+        bounded = asked.join(last.withColumnRenamed("q", "id"), "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+        found = _meet(index, materialize(bounded, "bounded"), want)
     if exclude_self:
         found = found.filter(F.col("q") != F.col("c"))
     top = head_per_group(found, ["q"], ["distance", "c"], k, "rank")
