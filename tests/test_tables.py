@@ -187,3 +187,11 @@ def test_checks_while_writing_are_those_of_run_checks(spark):
     empty.write("parent", parent.limit(0))
     empty.write("child", child.limit(0))
     assert {(row["failures"], row["passed"]) for row in empty.results().collect()} == {(0, True)}
+
+
+def test_reviews_are_not_shuffled_by_their_few_codes(spark):
+    raw = spark.range(100).select(F.col("id").cast("string").alias("reviewId"), F.when(F.col("id") % 2 == 0, "en").otherwise("fr").alias("bank_code"))
+    out = readers.normalise_reviews(raw, spark.createDataFrame([("en", "English")], "bank_code string, bank_name string"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert [r["bank_name"] for r in out.collect()].count("English") == 50

@@ -84,7 +84,7 @@ def read_table(spark: SparkSession, name: str, jdbc_options: dict[str, str] | No
 def normalise_reviews(raw: DataFrame, sources: DataFrame, code_col: str = "bank_code") -> DataFrame:
     """Store records to the review table's columns, defaults for absent fields, the name from `sources`.
 
-    `sources` is the configured (code, name) list. Columns the record lacks count as null.
+    `sources` is the configured (code, name) list, which every task gets, so records are not shuffled by their few codes. Columns the record lacks count as null.
     """
     def field(name: str, default=None, kind: str = "string"):
         value = F.col(name) if name in raw.columns else F.lit(None)
@@ -104,7 +104,7 @@ def normalise_reviews(raw: DataFrame, sources: DataFrame, code_col: str = "bank_
         F.lit("Google Play").alias("source"),
     )
     names = sources.select("bank_code", "bank_name")
-    return shaped.join(names, "bank_code", "left").select(
+    return shaped.join(F.broadcast(names), "bank_code", "left").select(
         "review_id", "review_text", "rating", "review_date", "user_name", "thumbs_up", "reply_content",
         "bank_code", "bank_name", "app_id", "source",
     )
