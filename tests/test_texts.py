@@ -217,3 +217,13 @@ def test_any_other_method_means_the_lexicon(spark, method):
     by_lexicon = sentiment.add_sentiment(df, "id", lexicon=words).orderBy("id").collect()
     assert sentiment.add_sentiment(df, "id", lexicon=words, method=method).orderBy("id").collect() == by_lexicon
     assert [row["sentiment_label"] for row in by_lexicon] == ["positive", "negative", "neutral"]
+
+
+def test_texts_are_cut_in_slices_of_a_batch(spark, monkeypatch):
+    texts = [(i, ("word " * (i % 40)) + "." + "x" * (700 * (i % 2)), "p") for i in range(150)]
+    df = spark.createDataFrame(texts, "id long, t string, p string").coalesce(1)
+    got = {(int(r["complaint_id"]), r["chunk_index"]): r["text"] for r in chunks.create_chunks(df, "id", "t", "p", 60, 10).collect()}
+    want = {(i, place): chunk for i, text, _ in texts for place, chunk in enumerate(chunks.split_text(text, 60, 10))}
+    assert got == want
+    plan = chunks.create_chunks(df, "id", "t", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.session import spread
 
+#: Texts that are cut at a time; a batch that arrives holds many more.
+TEXTS = 64
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
@@ -70,15 +73,23 @@ def create_chunks(
     with `index_col`, the column that numbers them, it comes along as `original_index`.
     """
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size, overlap))
-
     rows = df.filter(F.col(text_col).isNotNull() & F.col(text_col).rlike(r"(?U)\S"))
     numbered = {"original_index": F.col(index_col)} if index_col else {}
-    cut = spread(rows.select(id_col, text_col, product_col, *[column.alias(name) for name, column in numbered.items()])).select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("unknown")).alias("complaint_id"), F.col(product_col).alias("product"), *numbered,
-        F.posexplode_outer(split(F.col(text_col))).alias("chunk_index", "text"),
-    ).filter("text is not null")
+    named = spread(rows.select(id_col, text_col, product_col, *[column.alias(name) for name, column in numbered.items()])).select(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("unknown")).alias("complaint_id"), F.col(product_col).alias("product"), *numbered, F.col(text_col).alias("text"),
+    )
+    kept = named.columns[:-1]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                pieces = [split_text(text, size, overlap) for text in part.column(len(kept)).to_pylist()]
+                take = pa.array(np.repeat(np.arange(len(pieces)), [len(one) for one in pieces]))
+                places = pa.array([place for one in pieces for place in range(len(one))], pa.int32())
+                texts = pa.array([chunk for one in pieces for chunk in one], pa.string())
+                yield pa.RecordBatch.from_arrays([*[part.column(i).take(take) for i in range(len(kept))], texts, places], [*kept, "text", "chunk_index"])
+
+    schema = T.StructType([*[named.schema[name] for name in kept], T.StructField("text", T.StringType()), T.StructField("chunk_index", T.IntegerType())])
     chunk_id = F.sha2(F.concat_ws(":", "complaint_id", F.col("chunk_index").cast("string")), 256)
-    return cut.select(chunk_id.alias("chunk_id"), "complaint_id", "product", "text", "chunk_index", *numbered)
+    return named.mapInArrow(cut, schema).select(chunk_id.alias("chunk_id"), "complaint_id", "product", "text", "chunk_index", *numbered)
