@@ -219,6 +219,37 @@ def test_any_other_method_means_the_lexicon(spark, method):
     assert [row["sentiment_label"] for row in by_lexicon] == ["positive", "negative", "neutral"]
 
 
+def test_long_phrases_are_counted_only_where_their_words_are_frequent(spark, monkeypatch):
+    texts = ["a1 b1 c1 a1 b1", "a1 b1 x1 y1", "c1 a1 b1 z1", "q1 r1 q1 r1", "a1 c1", "b1 c1 x1", "q1"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "t string")
+    asked = []
+    count = terms.phrase_counts
+    monkeypatch.setattr(terms, "phrase_counts", lambda *args, **kw: asked.append(args[3]) or count(*args, **kw))
+    for grams in ((1, 2), (1, 3), (2, 3)):
+        every = count(df, "t", (), grams, []).collect()
+        for n in (1, 2, 4, 7, 500):
+            want = sorted(((r["phrase"], r["count"]) for r in every), key=lambda r: (-r[1], r[0]))[:n]
+            assert [tuple(r) for r in terms.common_phrases(df, "t", n, grams, []).collect()] == want
+    monkeypatch.setattr(terms, "FREQUENT", 3)
+    assert [tuple(r) for r in terms.common_phrases(df, "t", 3, (1, 2), []).collect()] == sorted(((r["phrase"], r["count"]) for r in count(df, "t", (), (1, 2), []).collect()), key=lambda r: (-r[1], r[0]))[:3]
+
+
+def test_rare_bigrams_are_not_shuffled(spark):
+    texts = ["top1 top2 " + f"rare{i} rarer{i}" for i in range(300)]
+    out = terms.common_phrases(spark.createDataFrame([(t,) for t in texts], "t string"), "t", 2, (1, 2), [])
+    assert [tuple(r) for r in out.collect()] == [("top1", 300), ("top1 top2", 300)]
+    assert "filter(" in out._jdf.queryExecution().optimizedPlan().toString() and "top2" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_weights_take_three_shuffles_of_document_terms(spark):
+    df = spark.createDataFrame([(1, "aa bb bb"), (2, "aa cc"), (2, "cc bb"), (3, "bb aa")], "d long, t string")
+    out = terms.tfidf(df, "d", "t", (), [], 1.0, 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and plan.count("Exchange hashpartitioning(d") == 1
+    norms = out.groupBy("d").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
+    assert all(r["n"] == pytest.approx(1.0) for r in norms) and len(norms) == 3
+
+
 def test_texts_are_cut_in_slices_of_a_batch(spark, monkeypatch):
     texts = [(i, ("word " * (i % 40)) + "." + "x" * (700 * (i % 2)), "p") for i in range(150)]
     df = spark.createDataFrame(texts, "id long, t string, p string").coalesce(1)
