@@ -92,3 +92,20 @@ def test_large_models_are_refused(spark, rows, monkeypatch):
     monkeypatch.setattr(shapley, "PATH_BYTES", 1000)
     with pytest.raises(ValueError, match="shallower"):
         shapley.tree_paths(spark, model.stages[-1])
+
+
+def test_rows_that_meet_the_same_conditions_are_worked_out_once(spark, rows, monkeypatch):
+    for name in ("forest", "class boosted", "no split"):
+        model = Pipeline(stages=[prep.build_preprocessor(["a", "b"], ["c"]), made(name)]).fit(rows)
+        x = np.array([r["x"] for r in model.transform(rows).select(vector_to_array("features").alias("x")).collect()])
+        paths, _ = shapley.tree_paths(spark, model.stages[-1])
+        want, worked = shapley.path_values(paths, x), []
+        plain = shapley.path_values
+        with monkeypatch.context() as patch:
+            patch.setattr(shapley, "path_values", lambda p, part: worked.append(len(part)) or plain(p, part))
+            known = shapley.KnownValues(paths)
+            for _ in range(3):
+                assert np.allclose(known.of(x), want, atol=1e-12)
+            assert len(worked) == 1 and worked[0] <= len(x)
+            patch.setattr(shapley, "KNOWN_ROWS", 5)
+            assert np.allclose(np.concatenate([known.of(x[i : i + 7]) for i in range(0, len(x), 7)]), want, atol=1e-12)

@@ -33,6 +33,8 @@ from tidemart.session import new_shared_path
 PATH_BYTES = 512 << 20
 #: Rows that are worked on at a time.
 ROWS = 8192
+#: Rows that differ in some condition, whose values a task keeps.
+KNOWN_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -137,6 +139,48 @@ def path_values(paths: list[Path], x: np.ndarray) -> np.ndarray:
     return out
 
 
+class KnownValues:
+    """`path_values`, worked out once for rows that are on the same side of every threshold of the model.
+
+    Rows are numbered by the intervals (or categories) that their values lie in. The values of up to `KNOWN_ROWS` numbers are kept. Models with too many
+    intervals to number, and rows with NaN, are worked out row by row.
+    """
+
+    def __init__(self, paths: list[Path]):
+        self.paths = paths
+        edges: dict[int, set[float]] = {}
+        self.levels: dict[int, int] = {}
+        for path in paths:
+            for feature, lower, upper, allowed in zip(path.features.tolist(), path.lower.tolist(), path.upper.tolist(), path.allowed, strict=True):
+                edges.setdefault(feature, set()).update(v for v in (lower, upper) if np.isfinite(v))
+                if allowed is not None:
+                    self.levels[feature] = len(allowed)
+        self.edges = {feature: np.array(sorted(edges[feature])) for feature in sorted(edges)}
+        sizes = [(len(e) + 1) * self.levels.get(f, 1) for f, e in self.edges.items()]
+        self.numbered = float(np.prod([float(s) for s in sizes])) < 2.0**62
+        self.codes, self.values = np.empty(0, np.int64), None
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        if not self.numbered or np.isnan(x).any():
+            return path_values(self.paths, x)
+        code = np.zeros(len(x), np.int64)
+        for feature, edges in self.edges.items():
+            code = code * (len(edges) + 1) + np.searchsorted(edges, x[:, feature])
+            if feature in self.levels:
+                code = code * self.levels[feature] + np.clip(x[:, feature].astype(np.int64), 0, self.levels[feature] - 1)
+        found, first, place = np.unique(code, return_index=True, return_inverse=True)
+        new = ~np.isin(found, self.codes, assume_unique=True)
+        if new.any():
+            made = path_values(self.paths, x[first[new]])
+            if self.values is None or len(self.codes) + len(made) > KNOWN_ROWS:
+                keep = np.isin(self.codes, found, assume_unique=True)
+                self.codes, self.values = self.codes[keep], np.zeros((0, x.shape[1])) if self.values is None else self.values[keep]
+            codes, values = np.concatenate([self.codes, found[new]]), np.concatenate([self.values, made])
+            order = codes.argsort()
+            self.codes, self.values = codes[order], values[order]
+        return self.values[np.searchsorted(self.codes, found)[place]]
+
+
 def shapley_values(model: PipelineModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """The columns `keep` of each row or of the model's output, `shapley` (the values by position) and `mean`, for a pipeline that ends in a tree model."""
     spark = rows.sparkSession
@@ -145,11 +189,12 @@ def shapley_values(model: PipelineModel, rows: DataFrame, keep: Sequence[str]) -
     shared = spark.sparkContext.broadcast(paths)
 
     def explained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = KnownValues(shared.value)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 part = batch.slice(first, ROWS)
                 x = part.column(len(keep))
-                values = path_values(shared.value, np.asarray(x.flatten(), np.float64).reshape(len(x), -1))
+                values = known.of(np.asarray(x.flatten(), np.float64).reshape(len(x), -1))
                 offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * values.shape[1], pa.int32())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))], [*keep, "shapley"])
 
@@ -165,11 +210,11 @@ def mean_magnitudes(model: PipelineModel, rows: DataFrame, names: list[str]) ->
     shared = spark.sparkContext.broadcast(paths)
 
     def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros(len(names)), 0
+        known, total, n = KnownValues(shared.value), np.zeros(len(names)), 0
         for batch in batches:
             for first in range(0, len(batch), ROWS):
                 part = np.stack(batch["x"].iloc[first : first + ROWS].to_numpy())
-                total += np.abs(path_values(shared.value, part)).sum(0)
+                total += np.abs(known.of(part)).sum(0)
                 n += len(part)
         if n:
             yield pd.DataFrame({"feature": names, "total": total, "n": n})
