@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
+from tidemart import session
 from tidemart.ml import explain, prep, shapley
 
 
@@ -109,3 +110,9 @@ def test_rows_that_meet_the_same_conditions_are_worked_out_once(spark, rows, mon
             assert len(worked) == 1 and worked[0] <= len(x)
             patch.setattr(shapley, "KNOWN_ROWS", 5)
             assert np.allclose(np.concatenate([known.of(x[i : i + 7]) for i in range(0, len(x), 7)]), want, atol=1e-12)
+
+
+def test_rows_of_a_fit_are_dealt_into_bounded_tasks(spark):
+    dealt = session.dealt_for_fit(spark.range(0, 5000, 1, 1), 100)
+    sizes = dealt.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 5000 and max(sizes) <= 110

@@ -18,6 +18,8 @@ DEFAULTS = {
 }
 
 SPREAD_BYTES = 1 << 30
+#: Rows of a task of a model fit, which keeps them in memory in every round.
+FIT_ROWS = 250_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -78,3 +80,9 @@ def spread(df: DataFrame) -> DataFrame:
     per_task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return df.repartition(cores) if int(str(size)) < min(cores * per_task // 4, SPREAD_BYTES) else df
+
+
+def dealt_for_fit(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """`df` in partitions of at most about `FIT_ROWS` rows: a fit keeps its input by partition, and one file split may hold many millions of narrow rows."""
+    per_task = rows or FIT_ROWS
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // per_task)))
