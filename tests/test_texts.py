@@ -258,3 +258,24 @@ def test_texts_are_cut_in_slices_of_a_batch(spark, monkeypatch):
     assert got == want
     plan = chunks.create_chunks(df, "id", "t", "p")._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
+def test_blocks_of_a_factorisation_add_up(spark, corpus, monkeypatch):
+    monkeypatch.setattr(terms, "BLOCK_ENTRIES", (5, 9))
+    monkeypatch.setattr(terms, "BLOCK_TERMS", (2, 2))
+    plans, write = [], terms.materialize
+    monkeypatch.setattr(terms, "materialize", lambda df, tag="cut": plans.append((tag, df._jdf.queryExecution().executedPlan().toString())) or write(df, tag))
+    weights = write(terms.tfidf(corpus, "doc", "txt", ["bank"], []).filter("bank in ('a', 'b')"), "weights")
+    start, model = (terms.TopicModel(weights, ["bank"], "doc", 2, n, tolerance=0) for n in (0, 3))
+    assert model.cells.count() > 8 and model.rounds == 3
+    for bank in ("a", "b"):
+        x = weights.filter(F.col("bank") == bank).toPandas().pivot(index="doc", columns="term", values="weight").fillna(0)
+        part = lambda f, own, ids, name: f.filter(F.col("bank") == bank).toPandas().set_index(own).loc[ids][[f"{name}0", f"{name}1"]].to_numpy()
+        w, h = part(start.w, "doc", x.index, "w"), part(start.h, "term", x.columns, "h")
+        for _ in range(3):
+            w = w * (x.values @ h) / (w @ (h.T @ h) + terms.EPSILON)
+            h = h * (x.values.T @ w) / (h @ (w.T @ w) + terms.EPSILON)
+        assert part(model.w, "doc", x.index, "w") == pytest.approx(w) and part(model.h, "term", x.columns, "h") == pytest.approx(h)
+    # a round moves what blocks send each other, once to documents and once to terms; the cells stay where they are
+    rounds = [plan for tag, plan in plans if tag == "factors"][-3:]
+    assert all(plan.count("FlatMapCoGroupsInPandas") == plan.count("ENSURE_REQUIREMENTS") == 2 and "Join" not in plan for plan in rounds)
