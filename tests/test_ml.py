@@ -7,6 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from catalog import modelling
 from tidemart.ml import evaluate, explain, models, prep, tracking
 from tidemart.operators import features
 from tidemart.plans import jobs
@@ -185,3 +186,15 @@ def test_customer_risk_and_feature_files(spark, folder):
     assert wide.count() == len(data) and len(wide.columns) == 10
     with pytest.raises(FileNotFoundError):
         jobs.build_features(spark, f"{folder}/none", f"{folder}/x", [], [])
+
+
+def test_rows_of_a_fit_are_dealt_to_every_core(spark):
+    seen = []
+
+    class Recorder:
+        def fit(self, train):
+            seen.append((train.rdd.getNumPartitions(), train.count(), train.select("doc_id").distinct().count()))
+
+    modelling._fit_and_rank(spark, "/root/testdata/sf0.001", lambda *_: {"recorder": Recorder()}, "quality", lambda *_: None)
+    parts, rows, ids = seen[0]
+    assert parts >= spark.sparkContext.defaultParallelism and rows == ids > 0
