@@ -198,3 +198,17 @@ def test_rows_of_a_fit_are_dealt_to_every_core(spark):
     modelling._fit_and_rank(spark, "/root/testdata/sf0.001", lambda *_: {"recorder": Recorder()}, "quality", lambda *_: None)
     parts, rows, ids = seen[0]
     assert parts >= spark.sparkContext.defaultParallelism and rows == ids > 0
+
+
+def test_deep_trees_are_the_same_with_kept_nodes(spark):
+    rng = np.random.default_rng(11)
+    rows = spark.createDataFrame([(float(a), float(b), int(a * b > 0.2 or rng.random() < 0.1)) for a, b in rng.normal(size=(300, 2))], "a double, b double, y int")
+    made = models.classification_models(prep.build_preprocessor(["a", "b"], []), "y")
+    for name in ("decision_tree", "random_forest_clf"):
+        ready, deep = made[name].getStages()
+        assert deep.getCacheNodeIds()
+        deep = deep.copy({deep.numTrees: 5}) if name == "random_forest_clf" else deep
+        features = ready.fit(rows).transform(rows)
+        strip = lambda model: model.toDebugString.split("\n", 1)[1]
+        assert strip(deep.fit(features)) == strip(deep.copy({deep.cacheNodeIds: False}).fit(features))
+    assert models.regression_models(prep.build_preprocessor(["a"], []), "y")["random_forest_regressor"].getStages()[1].getCacheNodeIds()

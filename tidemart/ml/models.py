@@ -7,6 +7,8 @@ from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, Log
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
 UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
+#: Tasks keep the node that each row has reached; else every round sends them the whole trees, which grow with the rows.
+DEEP = {"maxDepth": UNLIMITED_DEPTH, "cacheNodeIds": True}
 
 
 def _with(preprocessor: Pipeline, models: dict) -> dict[str, Pipeline]:
@@ -17,7 +19,7 @@ def regression_models(preprocessor: Pipeline, label: str, seed: int = 42) -> dic
     common = {"featuresCol": "features", "labelCol": label}
     return _with(preprocessor, {
         "linear_regression": LinearRegression(**common),
-        "random_forest_regressor": RandomForestRegressor(**common, numTrees=150, maxDepth=UNLIMITED_DEPTH, featureSubsetStrategy="all", seed=seed),
+        "random_forest_regressor": RandomForestRegressor(**common, numTrees=150, **DEEP, featureSubsetStrategy="all", seed=seed),
         "gradient_boosting_regressor": GBTRegressor(**common, maxIter=100, stepSize=0.1, maxDepth=3, seed=seed),
         "boosted_trees_regressor": GBTRegressor(**common, maxIter=200, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxDepth=6, seed=seed),
     })
@@ -28,8 +30,8 @@ def classification_models(preprocessor: Pipeline, label: str, seed: int = 42, ro
     common = {"featuresCol": "features", "labelCol": label}
     return _with(preprocessor, {
         "log_reg": LogisticRegression(**common, maxIter=1000, regParam=1.0 / rows if rows else 0.0),
-        "decision_tree": DecisionTreeClassifier(**common, maxDepth=UNLIMITED_DEPTH, seed=seed),
-        "random_forest_clf": RandomForestClassifier(**common, numTrees=150, maxDepth=UNLIMITED_DEPTH, seed=seed),
+        "decision_tree": DecisionTreeClassifier(**common, **DEEP, seed=seed),
+        "random_forest_clf": RandomForestClassifier(**common, numTrees=150, **DEEP, seed=seed),
         "gradient_boosting_clf": GBTClassifier(**common, maxIter=100, stepSize=0.1, maxDepth=3, seed=seed),
         "boosted_trees_clf": GBTClassifier(**common, maxIter=200, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxDepth=6, seed=seed),
     })
