@@ -279,3 +279,16 @@ def test_blocks_of_a_factorisation_add_up(spark, corpus, monkeypatch):
     # a round moves what blocks send each other, once to documents and once to terms; the cells stay where they are
     rounds = [plan for tag, plan in plans if tag == "factors"][-3:]
     assert all(plan.count("FlatMapCoGroupsInPandas") == plan.count("ENSURE_REQUIREMENTS") == 2 and "Join" not in plan for plan in rounds)
+
+
+def test_sentiment_makes_no_row_per_word(spark):
+    df = spark.createDataFrame([(1, "GOOD food, very bad!"), (2, None), (3, "")], "id long, t string")
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    out = sentiment.lexicon_scores(df, lex, "id", "t")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    folds = [line for line in plan.splitlines() if "aggregate(" in line]
+    assert len(folds) == 1 and folds[0].count("aggregate(") == 4 and "struct" not in folds[0]
+    assert plan.count("(upper(") == 1  # capitals are found once a word
+    got = {r["id"]: r for r in out.collect()}
+    assert got[1]["compound"] == compound(1.9 + 0.733 - 2.5 - 0.293 - 0.292) and got[2]["neu"] == 1.0 and got[3]["neu"] == 0.0
+    assert scores(spark, ["one two kind bad", "x y kind of bad", "kind of"], (("bad", -2.5),), idioms={}, dampening_pairs=())[1]["compound"] == compound(-2.5)

@@ -92,14 +92,14 @@ def _with_valences(
     only where a word has a valence of its own.
     """
     facts = _with_bases(df, lexicon, id_col, text_col, map_words)
-    capitals = F.size(F.filter("__words", _upper))
+    facts = facts.withColumn("__caps", F.transform("__words", _upper))
     facts = facts.withColumns({
-        "__mixed": (capitals > 0) & (capitals < F.size("__words")), "__but": F.array_position("__low", "but"),
+        "__mixed": F.exists("__caps", lambda c: c) & F.exists("__caps", lambda c: ~c), "__but": F.array_position("__low", "but"),
         "__boosts": F.transform("__low", lambda w: F.when(w.isin(list(boosters)), BOOST).when(w.isin(list(dampeners)), -BOOST)),
         "__negates": F.transform("__low", lambda w: w.isin(list(negations)) | F.contains(w, F.lit("n't"))),
     })
     word, low, boost, negates = (lambda i, name=name: F.get(name, i) for name in ("__words", "__low", "__boosts", "__negates"))
-    caps = lambda i: _upper(word(i)) & F.col("__mixed")
+    caps = lambda i: F.col("__mixed") & F.get("__caps", i)
     so = lambda i: word(i).isin("so", "this")
     sign = lambda v: F.when(v > 0, 1.0).otherwise(-1.0)
     plain = lambda v, i, j: v.isNotNull() & (i >= j) & F.get("__bases", i - j).isNull()
@@ -123,15 +123,18 @@ def _with_valences(
         v = looked_back(v, j, fade, lift)
     if idioms or dampening_pairs:
         phrase = lambda *places: F.concat(*[part for place in places for part in (F.lit(" "), word(place))][1:])
-        value = _constant_map(idioms)
+        looked_up, pairs = _constant_map(idioms), list(dampening_pairs)
+        firsts = lambda phrases: sorted({p.split(" ")[0] for p in phrases})
+        # Few words begin a phrase, so few phrases are put together.
+        value = lambda *places: F.when(word(places[0]).isin(firsts(idioms)), looked_up(phrase(*places)))
+        paired = lambda *places: F.when(word(places[0]).isin(firsts(pairs)), phrase(*places).isin(pairs))
 
         def idiomatic(v: Column, i: Column) -> Column:
             # What the word begins comes before what it ends, and both before what stands in front of it.
-            begun = (value(phrase(i, i + 1, i + 2)), value(phrase(i, i + 1)))
-            ended = (value(phrase(i - 1, i)), value(phrase(i - 2, i - 1, i)))
-            before = (value(phrase(i - 2, i - 1)), value(phrase(i - 3, i - 2, i - 1)), value(phrase(i - 3, i - 2)))
-            pairs = list(dampening_pairs)
-            drop = F.when(phrase(i - 3, i - 2).isin(pairs) | phrase(i - 2, i - 1).isin(pairs), BOOST).otherwise(0.0)
+            begun = (value(i, i + 1, i + 2), value(i, i + 1))
+            ended = (value(i - 1, i), value(i - 2, i - 1, i))
+            before = (value(i - 2, i - 1), value(i - 3, i - 2, i - 1), value(i - 3, i - 2))
+            drop = F.when(paired(i - 3, i - 2) | paired(i - 2, i - 1), BOOST).otherwise(0.0)
             return F.when(plain(v, i, 3), F.coalesce(*begun, *ended, *before, v) - drop).otherwise(v)
 
         v = F.transform(v, idiomatic)
@@ -143,7 +146,7 @@ def _with_valences(
         weight = F.when((but > 0) & (place < but), 0.5).when((but > 0) & (place > but), 1.5).otherwise(1.0)
         return F.when(v.isNull() | skipped, 0.0).otherwise(v * F.when(least, NEGATION).otherwise(1.0) * weight)
 
-    return facts.withColumn("__valences", F.transform(v, settled)).drop("__words", "__low", "__bases", "__mixed", "__but", "__boosts", "__negates")
+    return facts.withColumn("__valences", F.transform(v, settled)).drop("__words", "__low", "__bases", "__caps", "__mixed", "__but", "__boosts", "__negates")
 
 
 def token_valences(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
@@ -153,31 +156,32 @@ def token_valences(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str
 
 def _with_scores(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
     """`df` with the struct `__scores` of neg, neu, pos, compound and sentiment_label."""
-    nothing = F.struct(*[F.lit(0.0).alias(name) for name in ("total", "up", "down", "flat")])
-    sums = F.aggregate("__valences", nothing, lambda acc, v: F.struct(
-        (acc["total"] + v).alias("total"),
-        F.when(v > 0, acc["up"] + v + 1).otherwise(acc["up"]).alias("up"),
-        F.when(v < 0, acc["down"] + 1 - v).otherwise(acc["down"]).alias("down"),
-        F.when(v == 0, acc["flat"] + 1).otherwise(acc["flat"]).alias("flat"),
-    ))
+    # Four plain sums: one that carries all four would make a new row for every word.
+    folded = lambda step: F.aggregate("__valences", F.lit(0.0), step)
+    sums = {
+        "__total0": folded(lambda acc, v: acc + v),
+        "__up0": folded(lambda acc, v: F.when(v > 0, acc + v + 1).otherwise(acc)),
+        "__down0": folded(lambda acc, v: F.when(v < 0, acc + 1 - v).otherwise(acc)),
+        "__flat": folded(lambda acc, v: F.when(v == 0, acc + 1).otherwise(acc)),
+    }
     text = F.col(text_col)
     bangs = F.least(F.length(text) - F.length(F.replace(text, F.lit("!"))), F.lit(4)) * 0.292
     marks = F.length(text) - F.length(F.replace(text, F.lit("?")))
     emphasis = bangs + F.when(marks > 3, 0.96).when(marks > 1, marks * 0.18).otherwise(0.0)
-    scored = _with_valences(df, lexicon, id_col, text_col, **rules).withColumns({"__sums": sums, "__extra": emphasis})
-    total, up, down, extra = F.col("__sums.total"), F.col("__sums.up"), F.col("__sums.down"), F.col("__extra")
+    scored = _with_valences(df, lexicon, id_col, text_col, **rules).withColumns({**sums, "__extra": emphasis})
+    total, up, down, extra = F.col("__total0"), F.col("__up0"), F.col("__down0"), F.col("__extra")
     total = F.when(total > 0, total + extra).when(total < 0, total - extra).otherwise(total)
     scored = scored.withColumns({
         "__total": total, "__up": F.when(up > down, up + extra).otherwise(up), "__down": F.when(down > up, down + extra).otherwise(down),
     })
-    total, up, down, flat = F.col("__total"), F.col("__up"), F.col("__down"), F.col("__sums.flat")
+    total, up, down, flat = F.col("__total"), F.col("__up"), F.col("__down"), F.col("__flat")
     part = lambda c, digits=3: F.round(F.coalesce(F.try_divide(c, up + down + flat), F.lit(0.0)), digits)
     compound = F.round(F.coalesce(clamp(total / F.sqrt(total * total + ALPHA)), F.lit(0.0)), 4)
     scores = F.struct(
         part(down).alias("neg"), F.when(text.isNull(), 1.0).otherwise(part(flat)).alias("neu"), part(up).alias("pos"),
         compound.alias("compound"), sentiment_label(compound).alias("sentiment_label"),
     )
-    return scored.withColumn("__scores", scores).drop("__valences", "__sums", "__extra", "__total", "__up", "__down")
+    return scored.withColumn("__scores", scores).drop("__valences", *sums, "__extra", "__total", "__up", "__down")
 
 
 def lexicon_scores(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, **rules) -> DataFrame:
