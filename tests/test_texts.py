@@ -1,6 +1,9 @@
 """Text analytics and vector search on fixtures and against brute force."""
 
 import itertools
+import time
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -8,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart import session
 from tidemart.operators import chunks, sentiment, terms, vectors
 
 
@@ -281,6 +285,54 @@ def test_blocks_of_a_factorisation_add_up(spark, corpus, monkeypatch):
     assert all(plan.count("FlatMapCoGroupsInPandas") == plan.count("ENSURE_REQUIREMENTS") == 2 and "Join" not in plan for plan in rounds)
 
 
+def test_a_factorisation_keeps_one_state_and_no_shuffles(spark, corpus, monkeypatch):
+    folders = lambda: Counter(p.name.split("-")[0] for p in Path(session.shared_dir(spark), spark.sparkContext.applicationId).glob("*-*"))
+    before, seen, write = folders(), [], terms.materialize
+
+    def watched(df, tag="cut"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((tag, plan.count("ENSURE_REQUIREMENTS"), spark.conf.get(session.SHUFFLES_END)))
+        return write(df, tag)
+
+    monkeypatch.setattr(terms, "materialize", watched)
+    with session.settings(spark, spark__sql__shuffle__partitions=20):  # more than there are blocks
+        terms.topics(corpus, "doc", "txt", 2, 3, 5, []).collect()
+        terms.themes_by_group(corpus, "doc", "txt", "bank", 2, 3, 5, []).collect()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8" and spark.conf.get(session.SHUFFLES_END) == "false"
+    left = folders() - before
+    assert left["factors"] == 2 and left["cells"] == 2 and left["tf"] == left["idf"] == left["weights"] == 0  # one of each model
+    rounds = [s for s in seen if s[0] == "factors"]
+    assert {s[2] for s in rounds} == {"true"} and [s[1] for s in rounds].count(2) == len(rounds) - 2  # all but the starts
+    assert not spark.catalog.listTables()
+
+
+def test_weights_and_cells_made_in_parts(spark, corpus, monkeypatch):
+    ways = []
+    for rows in (1 << 22, 3):
+        monkeypatch.setattr(terms, "PART_ROWS", rows)
+        weights = terms.tfidf(corpus, "doc", "txt", ["bank"], [], store=True)
+        assert sorted(weights.collect()) == sorted(terms.tfidf(corpus, "doc", "txt", ["bank"], []).collect())
+        model = terms.TopicModel(weights, ["bank"], "doc", 2, 3, spent=weights)
+        ways.append([sorted(model.w.collect()), sorted(model.h.collect()), model.error().first()[0]])
+    names, values = zip(*([[tuple(v for v in r if not isinstance(v, float)) for r in w + h], [v for r in w + h for v in r if isinstance(v, float)] + [e]] for w, h, e in ways), strict=True)
+    assert names[0] == names[1] and values[0] == pytest.approx(values[1]) and len(values[0]) > 50
+
+
+def test_shuffle_files_go_when_a_part_is_written(spark):
+    files = lambda: {p for folder in local for p in Path(folder).rglob("shuffle_*.data")}
+    local = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    before = files()
+    part = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    got, until = session.written([part, part], "test"), time.monotonic() + 20
+    while files() - before and time.monotonic() < until:  # other threads delete them
+        time.sleep(0.2)
+    assert not files() - before and got.count() == 14
+    session.drop_cut(got)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        got.collect()
+
+
 def test_sentiment_makes_no_row_per_word(spark):
     df = spark.createDataFrame([(1, "GOOD food, very bad!"), (2, None), (3, "")], "id long, t string")
     lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
