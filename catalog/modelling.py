@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
-from tidemart.ml import evaluate, explain, models, prep, shapley, tracking
+from tidemart.ml import boosting, evaluate, explain, models, prep, shapley, tracking
 from tidemart.session import dealt_for_fit, spread
 
 # Predictions made by length rules, as three "models"; their label is a document's quality.
@@ -225,7 +225,9 @@ ADDS_UP_SQL = "SELECT l_orderkey, l_linenumber, TRUE AS adds_up FROM lineitem"
 def _adds_up(spark, sf, estimator):
     """Whether the Shapley values of a tree model of the lines' prices and its mean sum to the prediction."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice")
-    model = Pipeline(stages=[prep.build_preprocessor(["l_quantity", "l_discount", "l_tax"], ["l_returnflag"]), estimator]).fit(dealt_for_fit(lines))
+    prepare = prep.build_preprocessor(["l_quantity", "l_discount", "l_tax"], ["l_returnflag"])
+    boosted = isinstance(estimator, GBTRegressor)
+    model = boosting.fit_boosted(prepare, estimator, spread(lines)) if boosted else Pipeline(stages=[prepare, estimator]).fit(dealt_for_fit(lines))
     values = shapley.shapley_values(model, spread(lines), ["l_orderkey", "l_linenumber", "prediction"])
     told = F.aggregate("shapley", F.col("mean"), lambda a, v: a + v)
     return values.select("l_orderkey", "l_linenumber", (F.abs(told - F.col("prediction")) <= 1e-7 * (1 + F.abs("prediction"))).alias("adds_up"))

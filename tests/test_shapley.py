@@ -4,6 +4,7 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
@@ -12,7 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import functions as F
 
 from tidemart import session
-from tidemart.ml import explain, prep, shapley
+from tidemart.ml import boosting, explain, prep, shapley
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +117,61 @@ def test_rows_of_a_fit_are_dealt_into_bounded_tasks(spark):
     dealt = session.dealt_for_fit(spark.range(0, 5000, 1, 1), 100)
     sizes = dealt.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
     assert sum(sizes) == 5000 and max(sizes) <= 110
+
+
+def lines(spark, n=4000):
+    draw = np.random.default_rng(5)
+    a, b, c = draw.integers(0, 20, n) / 4, draw.normal(size=n), draw.choice(["x", "y", "z"], n)
+    v = 3 * a + np.where(b > 0.3, a * b, -2) + np.where(c == "x", 4, 0) + draw.normal(size=n)
+    return spark.createDataFrame(pd.DataFrame({"id": range(n), "a": a, "b": b, "c": c, "v": v}))
+
+
+def test_boosted_trees_of_cells_are_those_of_rows(spark):
+    df = lines(spark).withColumn("b", F.round("b", 0))  # so few values that both fits have all of them for bins
+    prepare, boosted = prep.build_preprocessor(["a", "b"], ["c"]), GBTRegressor(labelCol="v", maxIter=5, maxDepth=3, stepSize=0.3, seed=1)
+    rows, cells = Pipeline(stages=[prepare, boosted]).fit(df), boosting.fit_boosted(prepare, boosted, df)
+    trees = [shapley._tree_rows(spark, m.stages[-1])[0] for m in (rows, cells)]
+    for nodes, same in zip(trees[0].values(), trees[1].values(), strict=True):
+        assert set(nodes) == set(same)
+        for number, node in nodes.items():
+            assert node["split"] == same[number]["split"] and node["prediction"] == pytest.approx(same[number]["prediction"], abs=1e-9)
+            assert node["rawCount"] == pytest.approx(shapley._weight(same[number], False))
+    told = [{r["id"]: (*r["shapley"], r["mean"], r["prediction"]) for r in shapley.shapley_values(m, df, ["id", "prediction"]).collect()} for m in (rows, cells)]
+    assert set(told[0]) == set(told[1]) and all(told[0][i] == pytest.approx(told[1][i], abs=1e-9) for i in told[0])
+
+
+def test_cells_hold_every_row_and_do_not_grow_with_rows(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "COUNTED", 100)  # b has more
+    df, fitted = lines(spark), []
+    prepare, boosted = prep.build_preprocessor(["a", "b"], ["c"]), GBTRegressor(labelCol="v", maxIter=4, maxDepth=3, maxBins=8, seed=1)
+    fit = GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, rows: fitted.append((rows.count(), rows.agg(F.sum("__n"), F.sum(F.col("__n") * F.col("v"))).first())) or fit(self, rows))
+    model = boosting.fit_boosted(prepare, boosted, df)
+    (found, (n, total)) = fitted[0]
+    assert n == 4000 and total == pytest.approx(df.agg(F.sum("v")).first()[0]) and found <= 8 * 8 * 3
+    scored = model.transform(df).select("v", "prediction").toPandas()
+    plain = GBTRegressor(labelCol="v", maxIter=4, maxDepth=3, maxBins=8, seed=1)
+    monkeypatch.setattr(GBTRegressor, "_fit", fit)
+    other = Pipeline(stages=[prepare, plain]).fit(df).transform(df).select("v", "prediction").toPandas()
+    errors = [((p["v"] - p["prediction"]) ** 2).mean() for p in (scored, other)]
+    assert errors[0] < 1.1 * errors[1] < 0.5 * scored["v"].var()
+    # a leaf predicts the mean of its rows: rows were split as their cells were
+    tree = next(iter(shapley._tree_rows(spark, model.stages[-1])[0].values()))
+    first = model.stages[-1].trees[0].transform(model.transform(df).drop("prediction")).groupBy("prediction").agg(F.avg("v").alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(first) == sum(node["leftChild"] < 0 for node in tree.values()) and all(r["m"] == pytest.approx(r["prediction"]) for r in first)
+
+
+def test_fits_that_need_rows_run_over_rows(spark, monkeypatch):
+    df = lines(spark, 300)
+    monkeypatch.setattr(boosting, "summed_cells", None)
+    for options in ({"subsamplingRate": 0.8}, {"minInstancesPerNode": 5}, {"lossType": "absolute"}):
+        model = boosting.fit_boosted(prep.build_preprocessor(["a"], ["c"]), GBTRegressor(labelCol="v", maxIter=2, seed=1, **options), df)
+        assert model.transform(df).filter("prediction is not null").count() == 300
+
+
+def test_one_cell_and_null_labels(spark):
+    same = spark.createDataFrame([(1.0, "x", float(i)) for i in range(6)], "a double, c string, v double")
+    model = boosting.fit_boosted(prep.build_preprocessor(["a"], ["c"]), GBTRegressor(labelCol="v", maxIter=2, seed=1), same)
+    assert [r["prediction"] for r in model.transform(same).collect()] == pytest.approx([2.5] * 6)
+    with pytest.raises(Exception, match="null or NaN"):
+        boosting.fit_boosted(prep.build_preprocessor(["a"], ["c"]), GBTRegressor(labelCol="v"), same.withColumn("v", F.when(F.col("v") > 1, F.col("v"))))

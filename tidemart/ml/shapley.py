@@ -78,6 +78,11 @@ def _tree_rows(spark: SparkSession, estimator) -> tuple[dict[int, dict[int, obje
     return trees, weights if boosted else [1.0 / len(weights)] * len(weights)
 
 
+def _weight(node, classes: bool) -> float:
+    """Training rows that reached a node, by their weights: one line of a weighted fit may stand for many rows."""
+    return float(sum(node["impurityStats"]) if classes else node["impurityStats"][0])
+
+
 def tree_paths(spark: SparkSession, estimator) -> tuple[list[Path], float]:
     """Paths of a fitted tree, forest or boosted model of MLlib, and its mean output over the training rows."""
     trees, weights = _tree_rows(spark, estimator)
@@ -100,7 +105,7 @@ def tree_paths(spark: SparkSession, estimator) -> tuple[list[Path], float]:
                 )
                 continue
             split, children = node["split"], (node["leftChild"], node["rightChild"])
-            counts = [max(float(nodes[child]["rawCount"]), 1e-9) for child in children]
+            counts = [max(_weight(nodes[child], classes), 1e-9) for child in children]
             for side, child in enumerate(children):
                 share, lower, upper, allowed = way.get(split["featureIndex"], (1.0, -np.inf, np.inf, None))
                 part = counts[side] / sum(counts)
